@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, quality_rules, simhash, warc
+from . import bpe, mixing, quality_rules, rlz_dedup, simhash, suffix_dedup, warc
 from .common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -26,6 +26,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op5_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlz_dedup.dedup(table(spark, sf_dir, "documents"), window=20).drop("kept")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = warc.archive_round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -35,12 +39,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"), window=100).drop("kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
+    "op5_rlz_dedup": op5_rlz_dedup,
     "op7_warc": op7_warc,
     "op8_quality_rules": op8_quality_rules,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE: dict[str, str] = {
