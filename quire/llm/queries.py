@@ -7,9 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, quality_rules, rlz_dedup, simhash, suffix_dedup, warc
+from . import bpe, crf, mixing, pii, quality_rules, rlz_dedup, simhash, suffix_dedup, warc
 from .common import table
 
+#: The key of a production run comes from its secret store; this one makes the query repeatable.
+SURROGATE_KEY = "registered query"
 RANKS = "byte_bpe_50k.tiktoken"
 
 
@@ -17,6 +19,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
@@ -30,6 +36,10 @@ def op5_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlz_dedup.dedup(table(spark, sf_dir, "documents"), window=20).drop("kept")
 
 
+def op6_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), cutoff=0.3)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = warc.archive_round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -45,9 +55,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_pii": op2_pii,
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
     "op5_rlz_dedup": op5_rlz_dedup,
+    "op6_crf": op6_crf,
     "op7_warc": op7_warc,
     "op8_quality_rules": op8_quality_rules,
     "op10_suffix_dedup": op10_suffix_dedup,
