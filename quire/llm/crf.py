@@ -213,3 +213,15 @@ def score(docs: DataFrame, labels: DataFrame, cutoff: float = 0.3, id_col: str =
             yield pa.record_batch([b.column(0), pa.array(out), pa.array(scores, pa.float64()), pa.array([int(s >= cutoff) for s in scores], pa.int32())], [id_col, "held_out", "score", "predicted"])
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, held_out boolean, score double, predicted int")
+
+
+def keep(docs: DataFrame, model: Model, cutoff: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns, whose text scores cutoff or more; no shuffle."""
+    small_batches(docs.sparkSession, 200, "2m")
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array([model.score(t or "") >= cutoff for t in b.column(place).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, crf, mixing, pii, quality_rules, rlz_dedup, simhash, suffix_dedup, warc
+from . import bm25, bpe, crf, mixing, pii, quality_rules, rlz_dedup, simhash, suffix_dedup, warc
 from .common import table
 
 #: The key of a production run comes from its secret store; this one makes the query repeatable.
@@ -49,6 +49,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bm25.search(docs, docs.filter("doc_id % 20 = 0"), k=10)
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents"), window=100).drop("kept")
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_crf": op6_crf,
     "op7_warc": op7_warc,
     "op8_quality_rules": op8_quality_rules,
+    "op9_bm25": op9_bm25,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
