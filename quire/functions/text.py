@@ -84,4 +84,4 @@ def apply_edits(text: Column, changes: Column) -> Column:
 
 
 def percent(c: Column) -> Column:
-    return F.coalesce(F.format_string("%.1f%%", c * 100), F.lit("—"))
+    return F.when(c.isNotNull(), F.format_string("%.1f%%", c * 100)).otherwise("—")
