@@ -23,14 +23,14 @@ KGRAM = 8
 
 
 def factor(rows: list[tuple], window: int) -> Iterator[tuple[int, int, int, int]]:
-    """(doc, tag, s, e) of the factors of segments (key, doc, tag, start, seg), which are sorted by key."""
+    """(doc, tag, s, e) of the factors of segments (key, doc, tag, start, seg, off), which are sorted by key."""
     at = 0
     while at < len(rows):
         end = at
         while end < len(rows) and rows[end][0] == rows[at][0]:
             end += 1
         index: set[bytes] = set()
-        for _, doc, tag, start, seg in sorted(rows[at:end], key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3])):
+        for _, doc, tag, start, seg, _ in sorted(rows[at:end], key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3])):
             edges = [0, *(i + 1 for i, c in enumerate(seg) if c == 32), len(seg) + 1]
             begin = None
             for i in range(len(edges) - window):
@@ -62,8 +62,8 @@ def dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: s
         if len(words) >= window:
             digest = xxhash.xxh64_intdigest
             tokens = np.fromiter(map(digest, words), np.uint64, len(words))
-            for key, i, j in windows.anchors(tokens, window, KGRAM):
-                yield key, i, b" ".join(words[i : j + window])
+            for key, i, j, off in windows.anchors(tokens, window, KGRAM):
+                yield key, i, b" ".join(words[i : j + window]), off
 
     spans = windows.repeats(texts, cutter, lambda rows: factor(rows, window), lambda seg: seg.count(b" ") + 1)
     joined = windows.spans_of(texts, spans)

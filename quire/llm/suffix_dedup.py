@@ -86,7 +86,7 @@ def suffix_sort(text: HashedText, starts: np.ndarray, blocks: np.ndarray, most:
 
 
 def repeated(rows: list[tuple], window: int) -> Iterator[tuple[int, int, int, int]]:
-    """(doc, tag, s, e) of the windows in segments (key, doc, tag, start, seg) that also start earlier, by block."""
+    """(doc, tag, s, e) of the windows in segments (key, doc, tag, start, seg, off) that also start earlier, by block."""
     if not rows:
         return
     counts = np.array([len(r[4]) - window + 1 for r in rows])
@@ -100,9 +100,13 @@ def repeated(rows: list[tuple], window: int) -> Iterator[tuple[int, int, int, in
     rank = np.empty(len(rows), np.int64)
     rank[sorted(range(len(rows)), key=lambda i: (rows[i][1] is not None, rows[i][1] or 0, rows[i][2], rows[i][3]))] = np.arange(len(rows))
     age = rank[owner] * (1 << 32) + offset
-    blocks = np.cumsum(np.r_[0, keys[1:] != keys[:-1]])[owner]
-    # blocks with a single window have nothing to compare
-    busy = np.bincount(blocks)[blocks] > 1
+    # equal windows have the anchor at equal places, so each place of a block is sorted for itself;
+    # those with a single window have nothing to compare
+    places = np.array([r[5] for r in rows])[owner] - offset
+    blocks = np.cumsum(np.r_[0, keys[1:] != keys[:-1]])[owner] * window + places
+    blocks, size = np.unique(blocks, return_inverse=True, return_counts=True)[1:]
+    busy = np.flatnonzero(size[blocks] > 1)
+    busy = busy[np.argsort(blocks[busy], kind="stable")]
     starts, owner, offset, age, blocks = starts[busy], owner[busy], offset[busy], age[busy], blocks[busy]
     order = suffix_sort(text, starts, blocks, window)
     a, b = order[:-1], order[1:]
@@ -117,11 +121,12 @@ def repeated(rows: list[tuple], window: int) -> Iterator[tuple[int, int, int, in
     late = np.zeros(len(order), bool)
     late[order] = age[order] != oldest[group]
     where = np.flatnonzero(late)
+    where = where[np.lexsort((offset[where], owner[where]))]
     if not len(where):
         return
     new = np.flatnonzero(np.r_[True, (owner[where[1:]] != owner[where[:-1]]) | (offset[where[1:]] != offset[where[:-1]] + 1)])
     for i, j in zip(where[new].tolist(), where[np.r_[new[1:], len(where)] - 1].tolist()):
-        _, doc, tag, start, _ = rows[owner[i]]
+        _, doc, tag, start, *_ = rows[owner[i]]
         yield doc, tag, start + int(offset[i]), start + int(offset[j]) + window
 
 
@@ -136,8 +141,8 @@ def dedup(docs: DataFrame, window: int = 100, id_col: str = "doc_id", text_col:
 
     def cutter(data: bytes):
         if len(data) >= window:
-            for key, i, j in windows.anchors(np.frombuffer(data, np.uint8), window, KGRAM):
-                yield key, i, data[i : j + window]
+            for key, i, j, off in windows.anchors(np.frombuffer(data, np.uint8), window, KGRAM):
+                yield key, i, data[i : j + window], off
 
     spans = windows.repeats(texts, cutter, lambda rows: repeated(rows, window), len)
     joined = windows.spans_of(texts, spans)

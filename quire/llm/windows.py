@@ -24,7 +24,7 @@ PIECE = 1 << 22
 COMPARED = 2 << 20
 #: Hot anchors are at most this many: those above a fixed share of all segments, and above LEAST_HOT.
 MOST_HOT, LEAST_HOT, SALTS = 50_000, 500, 16
-SEGMENT = "key long, doc long, tag long, start long, seg binary"
+SEGMENT = "key long, doc long, tag long, start long, seg binary, off int"
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -32,8 +32,8 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def anchors(tokens: np.ndarray, window: int, k: int) -> Iterator[tuple[int, int, int]]:
-    """(key, first window, last window) of each run of windows with one anchor; k is a power of two."""
+def anchors(tokens: np.ndarray, window: int, k: int) -> Iterator[tuple[int, int, int, int]]:
+    """(key, first window, last window, place of the anchor behind the first) of each run of windows with one anchor; k is a power of two."""
     for at in range(0, max(0, len(tokens) - window + 1), PIECE):
         h = tokens[at : at + PIECE + window - 1].astype(np.uint64)
         span, factor = 1, 0x9E3779B97F4A7C15
@@ -52,7 +52,7 @@ def anchors(tokens: np.ndarray, window: int, k: int) -> Iterator[tuple[int, int,
         place = (low & np.uint64(0xFFFFFF)).astype(np.int64)
         edges = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
         keys = h[place[edges]].view(np.int64)
-        yield from zip(keys.tolist(), (edges + at).tolist(), (np.r_[edges[1:], len(place)] - 1 + at).tolist())
+        yield from zip(keys.tolist(), (edges + at).tolist(), (np.r_[edges[1:], len(place)] - 1 + at).tolist(), (place[edges] - edges).tolist())
 
 
 def named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -61,15 +61,15 @@ def named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("tag"), text.alias("text"))
 
 
-def segments(texts: DataFrame, cutter: Callable[[bytes], Iterator[tuple[int, int, bytes]]]) -> DataFrame:
+def segments(texts: DataFrame, cutter: Callable[[bytes], Iterator[tuple[int, int, bytes, int]]]) -> DataFrame:
     small_batches(texts.sparkSession, 200, "2m")
 
     def run(batches):
         for b in batches:
             rows = []
             for doc, tag, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary())):
-                for key, start, seg in cutter(text.as_py()):
-                    rows.append((key, doc, tag, start, seg))
+                for key, start, seg, off in cutter(text.as_py()):
+                    rows.append((key, doc, tag, start, seg, off))
                     if len(rows) == 20_000:
                         yield batch(rows)
                         rows = []
@@ -77,8 +77,8 @@ def segments(texts: DataFrame, cutter: Callable[[bytes], Iterator[tuple[int, int
                 yield batch(rows)
 
     def batch(rows):
-        kinds = [pa.int64()] * 4 + [pa.binary()]
-        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["key", "doc", "tag", "start", "seg"])
+        kinds = [pa.int64()] * 4 + [pa.binary(), pa.int32()]
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["key", "doc", "tag", "start", "seg", "off"])
 
     return texts.mapInArrow(run, SEGMENT)
 
@@ -100,17 +100,17 @@ def _grouped(batches, limit: int):
 def repeats(texts: DataFrame, cutter, compare: Callable[[list[tuple]], Iterator[tuple[int, int, int, int]]], width: Callable[[bytes], int]) -> DataFrame:
     """(doc, tag, s, e): tokens covered by windows that also start earlier.
 
-    compare() takes the different segments (key, doc, tag, start, seg) of whole blocks and yields spans;
+    compare() takes the different segments (key, doc, tag, start, seg, off) of whole blocks and yields spans;
     width() is the tokens of a segment. Order is by (doc, tag, start), a null id first."""
     found = segments(texts, cutter)
     counts = cut(found.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
     total = counts.agg(F.sum("n")).first()[0] or 0
     hot = cut(counts.filter(F.col("n") > max(LEAST_HOT, total // MOST_HOT)).select("key", F.lit(True).alias("hot")))
     marked = found.join(F.broadcast(hot), "key", "left")  # at most MOST_HOT rows
-    columns = ["key", "doc", "tag", "start", "seg"]
-    schema = "doc long, tag long, s long, e long, key long, start long, seg binary"
-    names = ["doc", "tag", "s", "e", "key", "start", "seg"]
-    kinds = [pa.int64()] * 6 + [pa.binary()]
+    columns = ["key", "doc", "tag", "start", "seg", "off"]
+    schema = "doc long, tag long, s long, e long, key long, start long, seg binary, off int"
+    names = ["doc", "tag", "s", "e", "key", "start", "seg", "off"]
+    kinds = [pa.int64()] * 6 + [pa.binary(), pa.int32()]
 
     def emit(rows):
         return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
@@ -120,12 +120,12 @@ def repeats(texts: DataFrame, cutter, compare: Callable[[list[tuple]], Iterator[
         last = None
         for b in batches:
             out = []
-            for key, doc, tag, start, seg in zip(*(c.to_pylist() for c in b.columns)):
+            for key, doc, tag, start, seg, off in zip(*(c.to_pylist() for c in b.columns)):
                 if last == (key, seg):
-                    out.append((doc, tag, start, start + width(seg), None, None, None))
+                    out.append((doc, tag, start, start + width(seg), None, None, None, None))
                 else:
                     last = (key, seg)
-                    out.append((doc, tag, None, None, key, start, seg))
+                    out.append((doc, tag, None, None, key, start, seg, off))
             if out:
                 yield emit(out)
 
@@ -134,11 +134,13 @@ def repeats(texts: DataFrame, cutter, compare: Callable[[list[tuple]], Iterator[
             out, firsts, last = [], [], None
             for row in rows:
                 if last == (row[0], row[4]):
-                    out.append((row[1], row[2], row[3], row[3] + width(row[4]), None, None, None))
+                    out.append((row[1], row[2], row[3], row[3] + width(row[4]), None, None, None, None))
                 else:
                     last = (row[0], row[4])
                     firsts.append(row)
-            out += [(*span, None, None, None) for span in compare(firsts)]
+            # a segment's own windows have the anchor at different places, so they differ: one alone has no repeats
+            held = [i and firsts[i - 1][0] == r[0] or i + 1 < len(firsts) and firsts[i + 1][0] == r[0] for i, r in enumerate(firsts)]
+            out += [(*span, None, None, None, None) for span in compare([r for r, keep in zip(firsts, held) if keep])]
             for i in range(0, len(out), 20_000):
                 yield emit(out[i : i + 20_000])
 
