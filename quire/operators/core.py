@@ -55,7 +55,7 @@ def best_overlap(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
     key whose intervals meet."""
     meets = (new[key] == old[key]) & (F.col("n_start") < F.col("o_end")) & (F.col("o_start") < F.col("n_end"))
     overlap = F.least("n_end", "o_end") - F.greatest("n_start", "o_start")
-    pairs = new.join(old, meets, "left").select(new[key], "n_id", F.coalesce(overlap, F.lit(0)).alias("overlap"), F.coalesce("o_id", F.lit(-1)).alias("o_id"))
+    pairs = new.join(old, meets, "left").select(new[key], "n_id", F.when(F.col("o_id").isNotNull(), overlap).otherwise(0).alias("overlap"), F.coalesce("o_id", F.lit(-1)).alias("o_id"))
     best = F.max(F.struct("overlap", (-F.col("o_id")).alias("back"))).alias("b")
     return pairs.groupBy(key, "n_id").agg(best).select(key, "n_id", (-F.col("b.back")).alias("o_id"), F.col("b.overlap").alias("overlap"))
 

@@ -31,5 +31,5 @@ def ledger(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def label_files(spark: SparkSession, path: str) -> DataFrame:
     """(line_id, text) of text files, one label each; line ends at their end don't count."""
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
     return files.select(F.regexp_extract("file", r"([^/]+)\.[^./]+$", 1).alias("line_id"), F.regexp_replace("text", r"\n+$", "").alias("text"))
