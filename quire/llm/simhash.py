@@ -25,6 +25,8 @@ MOST_RADIUS = 5
 SEED = 42
 #: Shingles whose bits are counted at a time.
 COUNTED = 1 << 14
+#: Pairs of fingerprints that are compared at a time in a large bucket.
+COMPARED = 1 << 18
 
 
 def fingerprint(text: bytes, shingle: int = 4) -> int:
@@ -32,20 +34,24 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
     words = text.lower().split()  # of bytes: A-Z and ASCII white space only
     if not words:
         return 0
-    joined, n = b" ".join(words), len(words)
-    if n <= shingle:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        sizes = np.fromiter(map(len, words), np.int64, n)
-        ends = np.cumsum(sizes + 1) - 1
-        starts, ends = (ends - sizes)[: n - shingle + 1].tolist(), ends[shingle - 1 :].tolist()
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[a:b], SEED) for a, b in zip(starts, ends)]
+    total = max(1, len(words) - shingle + 1)
     counts = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), COUNTED):
-        part = np.array(hashes[at : at + COUNTED], "<u8")
+    for at in range(0, total, COUNTED):
+        # what a long text needs beside its words is bounded by the piece
+        part = np.array(_shingle_hashes(words[at : at + COUNTED + shingle - 1], shingle), "<u8")
         counts += np.unpackbits(part.view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
+    return int(np.packbits(counts * 2 > total, bitorder="little").view("<u8")[0])
+
+
+def _shingle_hashes(words: list[bytes], shingle: int) -> list[int]:
+    joined, n = b" ".join(words), len(words)
+    if n <= shingle:
+        return [xxhash.xxh64_intdigest(joined, SEED)]
+    sizes = np.fromiter(map(len, words), np.int64, n)
+    ends = np.cumsum(sizes + 1) - 1
+    starts, ends = (ends - sizes)[: n - shingle + 1].tolist(), ends[shingle - 1 :].tolist()
+    digest = xxhash.xxh64_intdigest
+    return [digest(joined[i:j], SEED) for i, j in zip(starts, ends)]
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -78,10 +84,28 @@ def _close(x: np.ndarray, y: np.ndarray, radius: int) -> np.ndarray:
     return np.bitwise_count(x ^ y) <= radius
 
 
+def _reached(x: np.ndarray, radius: int) -> np.ndarray:
+    """For each fingerprint, the first from which it's reached by steps of radius bits at most.
+
+    Breadth first: each is compared once with those not reached yet, at most COMPARED pairs at a time. A dense
+    group is reached in a few steps, and the links themselves are never held."""
+    root, left = np.full(len(x), -1), np.arange(len(x))
+    while len(left):
+        start, wave = left[0], left[:1]
+        root[start], left = start, left[1:]
+        while len(wave) and len(left):
+            step = max(1, COMPARED // len(left))
+            now, wave = wave[:step], wave[step:]
+            near = _close(x[now, None], x[None, left], radius).any(axis=0)
+            root[left[near]] = start
+            wave, left = np.r_[wave, left[near]], left[~near]
+    return root
+
+
 def _links(keys: np.ndarray, fps: np.ndarray, radius: int, largest: int | None):
     """Spanning trees of the links within buckets, as (a, b); places of the rows in larger buckets than largest.
 
-    keys are sorted. Small buckets are compared by their offset, all at once; larger ones in blocks."""
+    keys are sorted. Small buckets are compared by their offset, all at once; larger ones breadth first."""
     bounds = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True])
     sizes = np.diff(bounds)
     size_of = np.repeat(sizes, sizes)
@@ -101,11 +125,7 @@ def _links(keys: np.ndarray, fps: np.ndarray, radius: int, largest: int | None):
             continue
         own = slice(start, start + size)
         x, at = fps[own], ids[own]
-        root = np.arange(size)
-        for i in range(0, size, 1024):
-            p, q = np.nonzero(_close(x[i : i + 1024, None], x[None, :], radius))
-            keep = p + i < q
-            root = _trees(size, np.r_[p[keep] + i, np.arange(size)], np.r_[q[keep], root])
+        root = _reached(x, radius)
         a.append(at)
         b.append(at[root])
     a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
