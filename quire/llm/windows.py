@@ -117,10 +117,13 @@ def repeats(texts: DataFrame, cutter, compare: Callable[[list[tuple]], Iterator[
 
     def collapse(batches):
         """Passes on the first of equal segments, and the spans of the others; rows are sorted by (key, seg, doc, tag, start)."""
-        last = None
+        last = own = None
         for b in batches:
             out = []
             for key, doc, tag, start, seg, off in zip(*(c.to_pylist() for c in b.columns)):
+                if last == (key, seg) and own == (doc, tag, start):
+                    continue  # a repeated row: one document
+                own = doc, tag, start
                 if last == (key, seg):
                     out.append((doc, tag, start, start + width(seg), None, None, None, None))
                 else:
@@ -131,8 +134,11 @@ def repeats(texts: DataFrame, cutter, compare: Callable[[list[tuple]], Iterator[
 
     def block(batches):
         for rows in _grouped(batches, COMPARED):
-            out, firsts, last = [], [], None
+            out, firsts, last, own = [], [], None, None
             for row in rows:
+                if last == (row[0], row[4]) and own == row[1:4]:
+                    continue  # a repeated row: one document
+                own = row[1:4]
                 if last == (row[0], row[4]):
                     out.append((row[1], row[2], row[3], row[3] + width(row[4]), None, None, None, None))
                 else:
