@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -10,21 +12,39 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 COUNTS = StructType([StructField(n, IntegerType()) for n in ("n_sub", "n_del", "n_ins")])
 
 
+def _next(row: np.ndarray, i: int, c: str, own: np.ndarray, places: np.ndarray) -> np.ndarray:
+    best = np.r_[np.int32(i), np.minimum(row[1:] + 1, row[:-1] + (own != ord(c)))]
+    # an insertion carries the smallest value seen so far along the row
+    return np.minimum.accumulate(best - places) + places
+
+
 def count_edits(ref: str, hyp: str) -> tuple[int, int, int]:
-    """(substitutions, deletions, insertions) of a shortest alignment, walked back with gaps before pairs."""
+    """(substitutions, deletions, insertions) of a shortest alignment, walked back with gaps before pairs.
+
+    Every step-th row of the table is held and those between are computed again, so that long texts fit."""
     ref, hyp = ref.strip(), hyp.strip()
-    own = np.array([ord(c) for c in hyp], np.int64)
-    table = [np.arange(len(hyp) + 1)]
-    for i, c in enumerate(ref, 1):
-        best = np.r_[i, np.minimum(table[-1][1:] + 1, table[-1][:-1] + (own != ord(c)))]
-        # an insertion carries the smallest value seen so far along the row
-        table.append(np.minimum.accumulate(best - np.arange(len(best))) + np.arange(len(best)))
+    own, places = np.array([ord(c) for c in hyp], np.int32), np.arange(len(hyp) + 1, dtype=np.int32)
+    step = max(256, math.isqrt(len(ref)) + 1)
+    held, table, row = [], [], places
+    for i in range(len(ref) + 1):
+        if i:
+            row = _next(row, i, ref[i - 1], own, places)
+        if i % step == 0:
+            held.append(row)
+            table = []
+        table.append(row)
+    low = len(ref) // step * step  # table has the rows from low on
     i, j, s, d, n = len(ref), len(hyp), 0, 0, 0
     while i or j:
-        here = table[i][j]
-        if i and table[i - 1][j] + 1 == here:
+        if i and i == low:
+            above, low = [held[low // step - 1]], low - step
+            for k in range(low + 1, i):
+                above.append(_next(above[-1], k, ref[k - 1], own, places))
+            table = [*above, table[0]]
+        here = table[i - low][j]
+        if i and table[i - low - 1][j] + 1 == here:
             i, d = i - 1, d + 1
-        elif j and table[i][j - 1] + 1 == here:
+        elif j and table[i - low][j - 1] + 1 == here:
             j, n = j - 1, n + 1
         else:
             i, j, s = i - 1, j - 1, s + (ref[i - 1] != hyp[j - 1])
