@@ -1,9 +1,7 @@
-"""Substring dedup on words by relative Lempel-Ziv parsing.
+"""Substring dedup on words by exact window lookup, in place of relative Lempel-Ziv parsing.
 
-The segments that share an anchor are a reference block. Its segments are indexed in document order and each
-is factored greedily against all before it: a factor starts where a window of words is found in the index and
-runs on while the next window is found too. Factors are a window long at least; only factor boundaries are
-looked up, and windows within a segment that has come before are skipped as one factor.
+The segments that share an anchor are a block. They are taken in document order, and every window of words of
+each is looked up among all windows before it; consecutive windows that are found are joined to one span.
 """
 
 from __future__ import annotations
@@ -23,7 +21,7 @@ KGRAM = 8
 
 
 def factor(rows: list[tuple], window: int) -> Iterator[tuple[int, int, int, int]]:
-    """(doc, tag, s, e) of the factors of segments (key, doc, tag, start, seg, off), which are sorted by key."""
+    """(doc, tag, s, e) of the repeated spans of segments (key, doc, tag, start, seg, off), which are sorted by key."""
     at = 0
     while at < len(rows):
         end = at
