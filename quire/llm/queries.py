@@ -33,7 +33,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rlz_dedup.dedup(table(spark, sf_dir, "documents"), window=20).drop("kept")
+    return rlz_dedup.dedup(table(spark, sf_dir, "documents"), window=20, texts=False)
 
 
 def op6_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ def op9_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.dedup(table(spark, sf_dir, "documents"), window=100).drop("kept")
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"), window=100, texts=False)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -1,7 +1,10 @@
-"""Substring dedup on words by exact window lookup, in place of relative Lempel-Ziv parsing.
+"""Substring dedup on words by relative Lempel-Ziv parsing.
 
-The segments that share an anchor are a block. They are taken in document order, and every window of words of
-each is looked up among all windows before it; consecutive windows that are found are joined to one span.
+The reference is cut into blocks by anchor (windows.py): the block of an anchor indexes every segment of text
+around it, and a segment can only repeat what its own block holds. Segments of a block are taken in document
+order. Each is parsed greedily against the index: a factor begins where a window of words is found, is
+extended word by word along the reference that was found, and the next look-up is at its boundary, for the
+first window that the factor doesn't hold. Factors become duplicate spans; what they don't cover is indexed.
 """
 
 from __future__ import annotations
@@ -11,75 +14,132 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 
 from . import windows
 from .common import small_batches
 
 KGRAM = 8
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes whose words are hashed at a time; a word is never cut.
+PIECE = 1 << 20
+BASE = 0x9E3779B97F4A7C15
+VALUES = windows.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A polynomial hash of each word, from prefix sums; words that collide only share a hash, bytes are compared later."""
+    out, at = np.zeros(len(starts), np.uint64), 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + PIECE, "right")))
+        low, high = int(starts[at]), int(ends[to - 1])
+        prefix = np.r_[np.uint64(0), np.cumsum(VALUES[data[low:high]] * _powers(BASE, high - low), dtype=np.uint64)]
+        back = _powers(pow(BASE, -1, 1 << 64), high - low)
+        i, j = starts[at:to] - low, ends[at:to] - low
+        out[at:to] = (prefix[j] - prefix[i]) * back[i]
+        at = to
+    return windows.mix(out)
+
+
+def parse(column: pa.Array) -> windows.Tokens:
+    """The words of each text; cut() joins them by one space."""
+    data, offsets = windows.texts_of(column)
+    solid = ~SPACE[data]
+    # texts end words
+    opens, closes = solid.copy(), solid.copy()
+    opens[1:] &= ~solid[:-1]
+    closes[:-1] &= ~solid[1:]
+    inner = offsets[1:-1]
+    inner = inner[(inner > 0) & (inner < len(data))]
+    opens[inner] = solid[inner]
+    closes[inner - 1] = solid[inner - 1]
+    starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    hashes = word_hashes(data, starts, ends)
+    # words joined by one space, so that equal words are equal bytes
+    size = ends - starts
+    end = np.cumsum(size + 1) - 1
+    begin = end - size
+    joined = np.full(int(end[-1]) + 1 if len(end) else 0, 32, np.uint8)
+    inside = np.ones(len(joined), bool)
+    inside[end] = False
+    joined[inside] = data[solid]
+    held = joined.tobytes()
+
+    def cut(first, last):
+        return [held[i:j] for i, j in zip(begin[first].tolist(), end[last].tolist())]
+
+    return windows.Tokens(hashes, np.searchsorted(starts, offsets), cut)
+
+
+def factors(words: list[bytes], index: dict[tuple, tuple[list[bytes], int]], window: int) -> Iterator[tuple[int, int]]:
+    """(begin, end) of the factors of window words or more, left to right, against an index of reference windows.
+
+    The index gives a reference and the place of a window in it. Windows that no factor holds are added, with
+    these words as their reference, once the look-up has passed them: a text is a reference to its own rest."""
+    at = 0
+    while at + window <= len(words):
+        first = tuple(words[at : at + window])
+        found = index.get(first)
+        if found is None:
+            index[first] = (words, at)
+            at += 1
+            continue
+        reference, place = found
+        length = window
+        while at + length < len(words) and place + length < len(reference) and words[at + length] == reference[place + length]:
+            length += 1
+        yield at, at + length
+        at += length - window + 1  # the boundary: the first window that the factor doesn't hold
 
 
 def factor(rows: list[tuple], window: int) -> Iterator[tuple[int, int, int, int]]:
-    """(doc, tag, s, e) of the repeated spans of segments (key, doc, tag, start, seg, off), which are sorted by key."""
+    """(doc, tag, s, e) of the repeated spans of different segments (key, doc, tag, start, stop, seg, off, hot), sorted by key."""
     at = 0
     while at < len(rows):
-        end = at
+        end = at + 1
         while end < len(rows) and rows[end][0] == rows[at][0]:
             end += 1
-        index: set[bytes] = set()
-        for _, doc, tag, start, seg, _ in sorted(rows[at:end], key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3])):
-            edges = [0, *(i + 1 for i, c in enumerate(seg) if c == 32), len(seg) + 1]
-            begin = None
-            for i in range(len(edges) - window):
-                words = seg[edges[i] : edges[i + window] - 1]
-                if words in index:
-                    begin = i if begin is None else begin
-                    continue
-                index.add(words)
-                if begin is not None:
-                    yield doc, tag, start + begin, start + i - 1 + window
-                    begin = None
-            if begin is not None:
-                yield doc, tag, start + begin, start + len(edges) - 1
+        if end - at > 1:  # windows of one segment hold the anchor at different places, so they differ
+            index: dict = {}
+            for _, doc, tag, start, _, seg, _, _ in sorted(rows[at:end], key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3])):
+                for i, j in factors(seg.split(b" "), index, window):
+                    yield doc, tag, start + i, start + j
         at = end
 
 
-def dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text", texts: bool = True) -> DataFrame:
     """(id, n_words, n_removed, kept_sha256, kept string): words covered by a window that also starts earlier go.
 
     Words are runs of anything but ASCII white space; kept words are joined by one space. Null texts have no
     words; texts of fewer words than the window stay whole. Rows with equal id and text are one document and
     get the same result each; equal ids with different texts are ordered by a hash of the text. A null id
-    comes first. Other columns aren't read.
+    comes first; ids are whole numbers. Other columns aren't read. Without texts, kept is left out.
     """
-    texts = windows.named(docs, id_col, text_col)
-
-    def cutter(data: bytes):
-        words = data.split()
-        if len(words) >= window:
-            digest = xxhash.xxh64_intdigest
-            tokens = np.fromiter(map(digest, words), np.uint64, len(words))
-            for key, i, j, off in windows.anchors(tokens, window, KGRAM):
-                yield key, i, b" ".join(words[i : j + window]), off
-
-    spans = windows.repeats(texts, cutter, lambda rows: factor(rows, window), lambda seg: seg.count(b" ") + 1)
-    joined = windows.spans_of(texts, spans)
-    small_batches(docs.sparkSession, 500, "4m")
-
-    def run(batches):
-        for b in batches:
-            out = []
-            for doc, text, found in zip(b.column(0).to_pylist(), b.column(2).cast(pa.binary()), b.column(3).to_pylist()):
-                words, at, kept = text.as_py().split(), 0, []
-                for s, e in windows.merged(found):
-                    kept += words[at:s]
-                    at = e
-                kept += words[at:]
-                joined_ = b" ".join(kept)
-                out.append((doc, len(words), len(words) - len(kept), hashlib.sha256(joined_).hexdigest(), joined_.decode()))
-            if out:
-                kinds = [pa.int64()] * 3 + [pa.string(), pa.string()]
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), kinds)], [id_col, "n_words", "n_removed", "kept_sha256", "kept"])
-
-    return joined.mapInArrow(run, f"`{id_col}` long, n_words long, n_removed long, kept_sha256 string, kept string")
+    rows, chunk = windows.chunked(docs, id_col, text_col)
+
+    def split(seg: bytes) -> list[bytes]:
+        words = seg.split(b" ")
+        return [b" ".join(words[i : i + window]) for i in range(len(words) - window + 1)]
+
+    spans = windows.repeats(rows, parse, lambda held: factor(held, window), split, window, KGRAM)
+
+    def run(doc, text, found):
+        words, at, kept = text.encode().split(), 0, []
+        for s, e in found:
+            kept += words[at:s]
+            at = e
+        kept += words[at:]
+        joined = b" ".join(kept)
+        return (doc, len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest(), *([joined.decode()] if texts else []))
+
+    small_batches(docs.sparkSession, 20_000, "4m")
+    names, kinds = [id_col, "n_words", "n_removed", "kept_sha256", "kept"], [pa.int64()] * 3 + [pa.string()] * 2
+    schema = f"`{id_col}` long, n_words long, n_removed long, kept_sha256 string" + (", kept string" if texts else "")
+    return windows.finish(rows, spans, chunk, run, names[: 4 + texts], kinds[: 4 + texts], schema)

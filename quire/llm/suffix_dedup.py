@@ -1,8 +1,9 @@
 """Substring dedup on bytes by a hash-compared suffix sort.
 
 Suffixes are sorted by mergesort. A comparison finds the common extension of two suffixes by binary search
-over prefix polynomial hashes, then compares the byte behind it: logarithmic in the window. Neighbours in
-that order whose extension spans a window are repeats, once their bytes have been compared.
+over prefix polynomial hashes, then compares the byte behind it: logarithmic in the window. Then the bytes of
+all neighbours are compared: they tell which are equal, and whether a collision has misplaced any, in which
+case the suffixes of that block are sorted by their bytes. Suffixes are those that share an anchor (windows.py).
 """
 
 from __future__ import annotations
@@ -19,6 +20,15 @@ from .common import small_batches
 
 KGRAM = 16
 BASE = 0x9E3779B97F4A7C15
+#: Neighbours whose bytes are compared at a time.
+COMPARED = 20_000
+
+
+def parse(column: pa.Array) -> windows.Tokens:
+    """The bytes of each text."""
+    data, offsets = windows.texts_of(column)
+    held = data.tobytes()
+    return windows.Tokens(data, offsets, lambda first, last: [held[i : j + 1] for i, j in zip(first.tolist(), last.tolist())])
 
 
 class HashedText:
@@ -85,16 +95,42 @@ def suffix_sort(text: HashedText, starts: np.ndarray, blocks: np.ndarray, most:
     return order
 
 
+def verified(text: HashedText, starts: np.ndarray, blocks: np.ndarray, order: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, equal): the order, mended where bytes say so, and whether each suffix equals the one before by its window."""
+    view = np.lib.stride_tricks.sliding_window_view(text.data, window)
+    equal, wrong = np.zeros(len(order), bool), set()
+    for at in range(1, len(order), COMPARED):
+        now = slice(at, at + COMPARED)
+        a, b = order[at - 1 : at - 1 + len(order[now])], order[now]
+        x, y = view[starts[a]], view[starts[b]]
+        differs = x != y
+        place = differs.argmax(axis=1)
+        rows = np.arange(len(a))
+        one = blocks[a] == blocks[b]
+        equal[now] = one & ~differs[rows, place]
+        wrong.update(blocks[b[one & (x[rows, place] > y[rows, place])]].tolist())
+    for block in wrong:
+        own = np.flatnonzero(blocks[order] == block)
+        held = sorted(order[own].tolist(), key=lambda i: (view[starts[i]].tobytes(), i))
+        order[own] = held
+        for i, (j, k) in zip(own[1:], zip(held, held[1:])):
+            equal[i] = bool((view[starts[j]] == view[starts[k]]).all())
+    return order, equal
+
+
 def repeated(rows: list[tuple], window: int) -> Iterator[tuple[int, int, int, int]]:
-    """(doc, tag, s, e) of the windows in segments (key, doc, tag, start, seg, off) that also start earlier, by block."""
+    """(doc, tag, s, e) of the windows in different segments (key, doc, tag, start, stop, seg, off, hot) that also start
+    earlier, by block; rows are sorted by key."""
+    # windows of one segment hold the anchor at different places, so they differ: one alone has no repeats
+    rows = [r for i, r in enumerate(rows) if i and rows[i - 1][0] == r[0] or i + 1 < len(rows) and rows[i + 1][0] == r[0]]
     if not rows:
         return
-    counts = np.array([len(r[4]) - window + 1 for r in rows])
-    ends = np.cumsum([len(r[4]) for r in rows])
-    text = HashedText(b"".join(r[4] for r in rows))
+    sizes = np.array([len(r[5]) for r in rows])
+    counts, ends = sizes - window + 1, np.cumsum(sizes)
+    text = HashedText(b"".join(r[5] for r in rows))
     owner = np.repeat(np.arange(len(rows)), counts)
     offset = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    starts = (ends - [len(r[4]) for r in rows])[owner] + offset
+    starts = (ends - sizes)[owner] + offset
     keys = np.array([r[0] for r in rows])
     # the order of occurrences, by (doc, tag, start)
     rank = np.empty(len(rows), np.int64)
@@ -102,20 +138,14 @@ def repeated(rows: list[tuple], window: int) -> Iterator[tuple[int, int, int, in
     age = rank[owner] * (1 << 32) + offset
     # equal windows have the anchor at equal places, so each place of a block is sorted for itself;
     # those with a single window have nothing to compare
-    places = np.array([r[5] for r in rows])[owner] - offset
+    places = np.array([r[6] for r in rows])[owner] - offset
     blocks = np.cumsum(np.r_[0, keys[1:] != keys[:-1]])[owner] * window + places
     blocks, size = np.unique(blocks, return_inverse=True, return_counts=True)[1:]
     busy = np.flatnonzero(size[blocks] > 1)
     busy = busy[np.argsort(blocks[busy], kind="stable")]
     starts, owner, offset, age, blocks = starts[busy], owner[busy], offset[busy], age[busy], blocks[busy]
-    order = suffix_sort(text, starts, blocks, window)
-    a, b = order[:-1], order[1:]
-    equal = (blocks[a] == blocks[b]) & text.same(starts[a], starts[b], np.full(len(a), window))
-    for at in range(0, len(a), 50_000):  # collisions: the bytes decide
-        test = np.flatnonzero(equal[at : at + 50_000]) + at
-        view = np.lib.stride_tricks.sliding_window_view(text.data, window)
-        equal[test] = (view[starts[a[test]]] == view[starts[b[test]]]).all(axis=1)
-    group = np.cumsum(np.r_[True, ~equal])[: len(order)]
+    order, equal = verified(text, starts, blocks, suffix_sort(text, starts, blocks, window), window)
+    group = np.cumsum(~equal) - 1
     oldest = np.full(group[-1] + 1 if len(group) else 0, np.iinfo(np.int64).max)
     np.minimum.at(oldest, group, age[order])
     late = np.zeros(len(order), bool)
@@ -130,37 +160,26 @@ def repeated(rows: list[tuple], window: int) -> Iterator[tuple[int, int, int, in
         yield doc, tag, start + int(offset[i]), start + int(offset[j]) + window
 
 
-def dedup(docs: DataFrame, window: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, window: int = 100, id_col: str = "doc_id", text_col: str = "text", texts: bool = True) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, kept binary): bytes covered by a window that also starts earlier go.
 
     Null texts are empty; texts shorter than the window stay whole. Rows with equal id and text are one
     document and get the same result each; equal ids with different texts are ordered by a hash of the text.
-    A null id comes first. Other columns aren't read.
+    A null id comes first; ids are whole numbers. Other columns aren't read. Without texts, kept is left out.
     """
-    texts = windows.named(docs, id_col, text_col)
-
-    def cutter(data: bytes):
-        if len(data) >= window:
-            for key, i, j, off in windows.anchors(np.frombuffer(data, np.uint8), window, KGRAM):
-                yield key, i, data[i : j + window], off
-
-    spans = windows.repeats(texts, cutter, lambda rows: repeated(rows, window), len)
-    joined = windows.spans_of(texts, spans)
-    small_batches(docs.sparkSession, 500, "4m")
-
-    def run(batches):
-        for b in batches:
-            out = []
-            for doc, text, found in zip(b.column(0).to_pylist(), b.column(2).cast(pa.binary()), b.column(3).to_pylist()):
-                data, at, kept = text.as_py(), 0, []
-                runs = windows.merged(found)
-                for s, e in runs:
-                    kept.append(data[at:s])
-                    at = e
-                kept = b"".join([*kept, data[at:]])
-                out.append((doc, len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept))
-            if out:
-                kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), kinds)], [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-
-    return joined.mapInArrow(run, f"`{id_col}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    rows, chunk = windows.chunked(docs, id_col, text_col)
+    split = lambda seg: [seg[i : i + window] for i in range(len(seg) - window + 1)]
+    spans = windows.repeats(rows, parse, lambda held: repeated(held, window), split, window, KGRAM)
+
+    def run(doc, text, found):
+        data, at, kept = text.encode(), 0, []
+        for s, e in found:
+            kept.append(data[at:s])
+            at = e
+        left = b"".join([*kept, data[at:]])
+        return (doc, len(data), len(data) - len(left), len(found), hashlib.sha256(left).hexdigest(), *([left] if texts else []))
+
+    small_batches(docs.sparkSession, 20_000, "4m")
+    names, kinds = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"], [pa.int64()] * 4 + [pa.string(), pa.binary()]
+    schema = f"`{id_col}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if texts else "")
+    return windows.finish(rows, spans, chunk, run, names[: 5 + texts], kinds[: 5 + texts], schema)

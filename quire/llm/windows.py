@@ -1,30 +1,46 @@
-"""Repeated windows of documents, found in blocks that share an anchor.
+"""Repeated windows of documents, found among places that share an anchor.
 
 Every window of W tokens has an anchor: its k-gram of smallest hash, leftmost among equals. Equal windows have
-equal anchors, so windows are compared only within the block of an anchor. Consecutive windows of one document
-with the same anchor travel together as one segment (start, bytes), which keeps the shuffle near a small
-multiple of the text. Anchors that are very frequent are first dealt out by a salt, where equal segments
-collapse to their first; what is left of them meets in the block.
+equal anchors, so windows are compared only where anchors agree. The steps:
+
+1. keys: the hashes of all anchors, each with the chunk of documents that holds it. An anchor that occurs once
+   in all documents repeats nothing, and its text is never sent anywhere.
+2. segments: each chunk of texts meets its own repeated anchors. Consecutive windows of one document with
+   one anchor travel together, as one segment; equal segments of a batch are one before the shuffle.
+3. blocks: the segments of an anchor are compared. Those of a hot anchor are dealt out by a salt, where
+   equal ones collapse to their first; those left are cut into single windows, which meet by their own hash.
+4. finish: each chunk of texts meets the spans that were found in it.
+
+Texts are shuffled twice, by a hash of id and text; all else is a fraction of them. No group is held whole:
+chunks, hot anchors and hot windows are streams of sorted rows, other blocks have at most HOT segments.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, small_batches
 
 #: Tokens whose anchors are computed at a time.
-PIECE = 1 << 22
-#: Segments that are compared at a time, in bytes; blocks are never divided.
-COMPARED = 2 << 20
-#: Hot anchors are at most this many: those above a fixed share of all segments, and above LEAST_HOT.
-MOST_HOT, LEAST_HOT, SALTS = 50_000, 500, 16
-SEGMENT = "key long, doc long, tag long, start long, seg binary, off int"
+PIECE = 1 << 20
+#: Bytes of text in a chunk, about.
+CHUNK_BYTES = 256 << 10
+#: Occurrences beyond which an anchor is hot, and the tasks that its equal segments, or equal windows, are dealt to first.
+HOT, SALTS = 1000, 64
+#: Bytes of segments that are compared at a time, about; a block is never divided.
+COMPARED = 1 << 20
+#: Different segments of a task that wait for equal ones before they are sent.
+WAITING = 50_000
+
+BLOCK = "key long, doc long, tag long, start long, stop long, seg binary, off int, hot boolean"
+SPAN = "doc long, tag long, s long, e long"
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -32,146 +48,245 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def anchors(tokens: np.ndarray, window: int, k: int) -> Iterator[tuple[int, int, int, int]]:
-    """(key, first window, last window, place of the anchor behind the first) of each run of windows with one anchor; k is a power of two."""
-    for at in range(0, max(0, len(tokens) - window + 1), PIECE):
-        h = tokens[at : at + PIECE + window - 1].astype(np.uint64)
+@dataclass
+class Tokens:
+    """The tokens of some texts, one text after another: a number for each, and where each text begins (and the end)."""
+
+    numbers: np.ndarray
+    bounds: np.ndarray
+    cut: Callable[[np.ndarray, np.ndarray], list[bytes]]  # the bytes from each first token to each last
+
+
+def anchors(t: Tokens, window: int, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(keys, first windows, last windows, places of the anchor behind the first) of all runs of windows with one
+    anchor, piece by piece; no window crosses the end of a text. k is a power of two."""
+    n = len(t.numbers) - window + 1
+    if n <= 0:
+        return
+    crossed, inner = np.zeros(n + 1, np.int32), t.bounds[1:-1]
+    np.add.at(crossed, np.clip(inner - window + 1, 0, n), 1)
+    np.add.at(crossed, np.clip(inner, 0, n), -1)
+    whole = np.cumsum(crossed[:-1]) == 0
+    for at in range(0, n, PIECE):
+        h = t.numbers[at : at + PIECE + window - 1].astype(np.uint64)
         span, factor = 1, 0x9E3779B97F4A7C15
         while span < k:
             h = h[:-span] * np.uint64(factor) + h[span:]
             span, factor = span * 2, factor * factor % (1 << 64)
         h = mix(h)
-        n = window - k + 1
+        grams = window - k + 1
         low = (h & np.uint64(0xFFFFFFFFFF000000)) | np.arange(len(h), dtype=np.uint64)
         span = 1
-        while span * 2 <= n:
+        while span * 2 <= grams:
             low = np.minimum(low[:-span], low[span:])
             span *= 2
-        if span < n:
-            low = np.minimum(low[: len(low) - (n - span)], low[n - span :])
-        place = (low & np.uint64(0xFFFFFF)).astype(np.int64)
-        edges = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-        keys = h[place[edges]].view(np.int64)
-        yield from zip(keys.tolist(), (edges + at).tolist(), (np.r_[edges[1:], len(place)] - 1 + at).tolist(), (place[edges] - edges).tolist())
+        if span < grams:
+            low = np.minimum(low[: len(low) - (grams - span)], low[grams - span :])
+        place, own = (low & np.uint64(0xFFFFFF)).astype(np.int64), whole[at : at + PIECE]
+        first = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (own[1:] != own[:-1])])
+        last = np.r_[first[1:], len(place)] - 1
+        first, last = first[own[first]], last[own[first]]
+        yield h[place[first]].view(np.int64), first + at, last + at, place[first] - first
+
+
+def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all texts, their offsets) of a string column."""
+    held = column.cast(pa.large_binary())
+    offsets = np.frombuffer(held.buffers()[1], np.int64)[held.offset : held.offset + len(held) + 1]
+    data = held.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, tag, text): a document is its id and a hash of its text; rows that agree in both are one document."""
+def chunked(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Column]:
+    """(chunk, doc, tag, text), and the chunk's expression: a document is its id and a hash of its text; rows that agree in both are one."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("tag"), text.alias("text"))
+    total = docs.select(F.sum(F.octet_length(text))).first()[0] or 0
+    chunk = F.pmod(F.xxhash64("doc", "tag"), F.lit(total // CHUNK_BYTES + 1)).cast("int")
+    named = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("tag"), text.alias("text"))
+    return named.select(chunk.alias("chunk"), "doc", "tag", "text"), chunk
+
+
+def batch_of(names: list[str], kinds: list, rows: list[tuple]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
 
-def segments(texts: DataFrame, cutter: Callable[[bytes], Iterator[tuple[int, int, bytes, int]]]) -> DataFrame:
-    small_batches(texts.sparkSession, 200, "2m")
+def _age(doc, tag: int, start: int) -> tuple:
+    """The order of occurrences: by id, a null one first, then tag and place."""
+    return doc is not None, doc or 0, tag, start
+
+
+def repeated_keys(texts: DataFrame, parse, window: int, k: int) -> DataFrame:
+    """(chunk, key, hot): the anchors of each chunk that occur more than once in all texts."""
 
     def run(batches):
         for b in batches:
-            rows = []
-            for doc, tag, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary())):
-                for key, start, seg, off in cutter(text.as_py()):
-                    rows.append((key, doc, tag, start, seg, off))
-                    if len(rows) == 20_000:
-                        yield batch(rows)
-                        rows = []
-            if rows:
-                yield batch(rows)
-
-    def batch(rows):
-        kinds = [pa.int64()] * 4 + [pa.binary(), pa.int32()]
-        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["key", "doc", "tag", "start", "seg", "off"])
-
-    return texts.mapInArrow(run, SEGMENT)
-
-
-def _grouped(batches, limit: int):
-    """Lists of whole blocks from rows sorted by key, about limit bytes each."""
-    rows, size = [], 0
-    for b in batches:
-        for row in zip(*(c.to_pylist() for c in b.columns)):
-            if size > limit and rows[-1][0] != row[0]:
-                yield rows
-                rows, size = [], 0
-            rows.append(row)
-            size += len(row[4])
-    if rows:
-        yield rows
-
-
-def repeats(texts: DataFrame, cutter, compare: Callable[[list[tuple]], Iterator[tuple[int, int, int, int]]], width: Callable[[bytes], int]) -> DataFrame:
+            chunk, t = b.column(0).to_numpy(), parse(b.column(1))
+            for keys, first, _, _ in anchors(t, window, k):
+                owner = chunk[np.searchsorted(t.bounds, first, "right") - 1]
+                order = np.lexsort((owner, keys))
+                keys, owner = keys[order], owner[order]
+                new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])]) if len(keys) else order
+                yield pa.record_batch([pa.array(keys[new]), pa.array(owner[new]), pa.array(np.diff(np.r_[new, len(keys)]).astype(np.int32))], ["key", "chunk", "n"])
+
+    # dealt out by key once: counted there, and met by the counts there
+    found = texts.select("chunk", "text").mapInArrow(run, "key long, chunk int, n int").repartition("key")
+    counts = found.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key", (F.col("n") > HOT).alias("hot"))
+    return found.select("key", "chunk").join(counts.hint("shuffle_hash"), "key").select("chunk", "key", "hot")
+
+
+def segments(texts: DataFrame, keys: DataFrame, parse, window: int, k: int) -> DataFrame:
+    """BLOCK: the different segments of repeated anchors; rows without seg are spans (start, stop) that have an equal one elsewhere in their batch."""
+    columns = ["chunk", "doc", "tag", "key", "hot", "text"]
+    left = keys.select("chunk", F.lit(None).cast("long").alias("doc"), F.lit(None).cast("long").alias("tag"), "key", "hot", F.lit(None).cast("string").alias("text"))
+    right = texts.select("chunk", "doc", "tag", F.lit(None).cast("long").alias("key"), F.lit(None).cast("boolean").alias("hot"), "text")
+    both = left.unionByName(right).repartition("chunk").sortWithinPartitions("chunk", F.col("key").isNull())
+    names, kinds = [c.split()[0] for c in BLOCK.split(", ")], [pa.int64()] * 5 + [pa.binary(), pa.int32(), pa.bool_()]
+
+    def run(batches):
+        now, known, hot = None, [], []
+        waiting: dict[bytes, tuple] = {}  # segment: (age, key, doc, tag, start, stop, off, hot)
+        spans: list[tuple] = []
+
+        def flush():
+            rows = [(key, doc, tag, start, stop, seg, off, is_hot) for seg, (_, key, doc, tag, start, stop, off, is_hot) in waiting.items()] + spans
+            waiting.clear()
+            spans.clear()
+            for i in range(0, len(rows), 10_000):
+                yield batch_of(names, kinds, rows[i : i + 10_000])
+
+        for b in batches:
+            chunk, is_key = b.column(0).to_numpy(zero_copy_only=False), np.asarray(b.column(3).is_valid())
+            edges = np.flatnonzero(np.r_[True, (chunk[1:] != chunk[:-1]) | (is_key[1:] != is_key[:-1]), True]) if len(chunk) else []
+            for i, j in zip(edges[:-1], edges[1:]):
+                if chunk[i] != now:
+                    now, known, hot = chunk[i], [], []
+                rows = b.slice(i, j - i)
+                if is_key[i]:
+                    known.append(rows.column(3).to_numpy())
+                    hot.append(rows.column(4).to_numpy(zero_copy_only=False))
+                    continue
+                if not len(known):
+                    continue
+                if isinstance(known, list):  # the first texts of a chunk: its keys are complete
+                    known, hot = np.concatenate(known), np.concatenate(hot).astype(bool)
+                    order = np.argsort(known)
+                    known, hot = known[order], hot[order]
+                t = parse(rows.column(5))
+                docs, tags = rows.column(1).to_pylist(), rows.column(2).to_pylist()
+                for keys_, first, last, off in anchors(t, window, k):
+                    place = np.minimum(np.searchsorted(known, keys_), len(known) - 1)
+                    keep = np.flatnonzero(known[place] == keys_)
+                    first, last, off, keys_, is_hot = first[keep], last[keep], off[keep], keys_[keep], hot[place[keep]]
+                    owner = np.searchsorted(t.bounds, first, "right") - 1
+                    start = first - t.bounds[owner]
+                    stop = start + last - first + window
+                    for seg, key, d, s, e, o, h in zip(t.cut(first, last + window - 1), keys_.tolist(), owner.tolist(), start.tolist(), stop.tolist(), off.tolist(), is_hot.tolist()):
+                        row = (_age(docs[d], tags[d], s), key, docs[d], tags[d], s, e, o, h)
+                        other = waiting.setdefault(seg, row)
+                        if other[0] != row[0]:
+                            later = max(other, row, key=lambda x: x[0])
+                            spans.append((*later[1:6], None, None, None))
+                            waiting[seg] = min(other, row, key=lambda x: x[0])
+                    if len(waiting) > WAITING or len(spans) > WAITING:
+                        yield from flush()
+        yield from flush()
+
+    return both.select(columns).mapInArrow(run, BLOCK)
+
+
+def _firsts(rows: Iterator[tuple], spans: list[tuple]) -> Iterator[tuple]:
+    """The first of equal segments, from rows sorted by (key, seg, age); the others become spans, a repeated row nothing."""
+    key = seg = own = None
+    for row in rows:
+        if row[5] is None:
+            spans.append(row[1:5])
+        elif row[0] == key and row[5] == seg:
+            if row[1:4] != own:
+                spans.append(row[1:5])
+            own = row[1:4]
+        else:
+            key, seg, own = row[0], row[5], row[1:4]
+            yield row
+
+
+def repeats(texts: DataFrame, parse, compare: Callable[[list[tuple]], Iterator[tuple[int, int, int, int]]], split: Callable[[bytes], list[bytes]], window: int, k: int) -> DataFrame:
     """(doc, tag, s, e): tokens covered by windows that also start earlier.
 
-    compare() takes the different segments (key, doc, tag, start, seg, off) of whole blocks and yields spans;
-    width() is the tokens of a segment. Order is by (doc, tag, start), a null id first."""
-    found = segments(texts, cutter)
-    counts = cut(found.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    hot = cut(counts.filter(F.col("n") > max(LEAST_HOT, total // MOST_HOT)).select("key", F.lit(True).alias("hot")))
-    marked = found.join(F.broadcast(hot), "key", "left")  # at most MOST_HOT rows
-    columns = ["key", "doc", "tag", "start", "seg", "off"]
-    schema = "doc long, tag long, s long, e long, key long, start long, seg binary, off int"
-    names = ["doc", "tag", "s", "e", "key", "start", "seg", "off"]
-    kinds = [pa.int64()] * 6 + [pa.binary(), pa.int32()]
-
-    def emit(rows):
-        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+    compare() takes the different segments (key, doc, tag, start, stop, seg, off, hot) of whole blocks and yields
+    spans; split() gives the windows of a segment. Order is by (doc, tag, start), a null id first."""
+    small_batches(texts.sparkSession, 20_000, "4m")
+    keys = cut(repeated_keys(texts, parse, window, k))
+    found = segments(texts, keys, parse, window, k)
+    names, kinds = [c.split()[0] for c in BLOCK.split(", ")], [pa.int64()] * 5 + [pa.binary(), pa.int32(), pa.bool_()]
+
+    def rows_of(batches):
+        for b in batches:
+            yield from zip(*(c.to_pylist() for c in b.columns))
+
+    def send(rows: list[tuple]):
+        for i in range(0, len(rows), 10_000):
+            yield batch_of(names, kinds, rows[i : i + 10_000])
+
+    def judge(batches):
+        spans, held, size, hot = [], [], 0, []
+        for row in _firsts(rows_of(batches), spans):
+            if row[7]:
+                for i, seg in enumerate(split(row[5])):
+                    hot.append((xxhash.xxh64_intdigest(seg) - (1 << 63), row[1], row[2], row[3] + i, row[3] + i + window, seg, 0, True))
+            else:
+                if size > COMPARED and held[-1][0] != row[0]:
+                    spans += compare(held)
+                    held, size = [], 0
+                held.append(row)
+                size += len(row[5])
+            if len(hot) + len(spans) > 20_000:
+                yield from send(hot + [(None, d, t, s, e, None, None, None) for d, t, s, e in spans])
+                hot.clear()
+                spans.clear()
+        spans += compare(held)
+        yield from send(hot + [(None, d, t, s, e, None, None, None) for d, t, s, e in spans])
 
     def collapse(batches):
-        """Passes on the first of equal segments, and the spans of the others; rows are sorted by (key, seg, doc, tag, start)."""
-        last = own = None
+        spans, out = [], []
+        for row in _firsts(rows_of(batches), spans):
+            out.append(row)
+            if len(out) + len(spans) > 20_000:
+                yield from send(out + [(None, d, t, s, e, None, None, None) for d, t, s, e in spans])
+                out.clear()
+                spans.clear()
+        yield from send(out + [(None, d, t, s, e, None, None, None) for d, t, s, e in spans])
+
+    order = ["key", "seg", "doc", "tag", "start"]
+    salt = F.when(F.col("hot") | F.col("seg").isNull(), F.pmod(F.xxhash64("doc", "tag"), F.lit(SALTS))).otherwise(0)
+    judged = cut(found.repartition("key", salt).sortWithinPartitions(*order).mapInArrow(judge, BLOCK))
+    span = lambda rows: rows.filter("seg IS NULL").select("doc", "tag", F.col("start").alias("s"), F.col("stop").alias("e"))
+    early = cut(judged.filter("seg IS NOT NULL").repartition("key", salt).sortWithinPartitions(*order).mapInArrow(collapse, BLOCK))
+    late = early.filter("seg IS NOT NULL").repartition("key").sortWithinPartitions(*order).mapInArrow(collapse, BLOCK)
+    return span(judged).unionByName(span(early)).unionByName(span(late))
+
+
+def finish(texts: DataFrame, spans: DataFrame, chunk: Column, run: Callable[[object, str, list[tuple[int, int]]], tuple], names: list[str], kinds: list, schema: str) -> DataFrame:
+    """A row of run(doc, text, its merged spans) for each row of texts; texts meet their spans chunk by chunk, as a stream."""
+    columns = ["chunk", "doc", "tag", "s", "e", "text"]
+    left = spans.select(chunk.alias("chunk"), *columns[1:5], F.lit(None).cast("string").alias("text"))
+    right = texts.select("chunk", "doc", "tag", F.lit(None).cast("long").alias("s"), F.lit(None).cast("long").alias("e"), "text")
+    both = left.unionByName(right).repartition("chunk").sortWithinPartitions("chunk", "doc", "tag", F.col("s").isNull(), "s", "e")
+
+    def go(batches):
+        own, found = None, []
         for b in batches:
             out = []
-            for key, doc, tag, start, seg, off in zip(*(c.to_pylist() for c in b.columns)):
-                if last == (key, seg) and own == (doc, tag, start):
-                    continue  # a repeated row: one document
-                own = doc, tag, start
-                if last == (key, seg):
-                    out.append((doc, tag, start, start + width(seg), None, None, None, None))
+            for _, doc, tag, s, e, text in zip(*(c.to_pylist() for c in b.columns)):
+                if own != (doc, tag):
+                    own, found = (doc, tag), []
+                if text is not None:
+                    out.append(run(doc, text, found))
+                elif found and s <= found[-1][1]:
+                    found[-1] = (found[-1][0], max(found[-1][1], e))
                 else:
-                    last = (key, seg)
-                    out.append((doc, tag, None, None, key, start, seg, off))
+                    found.append((s, e))
             if out:
-                yield emit(out)
-
-    def block(batches):
-        for rows in _grouped(batches, COMPARED):
-            out, firsts, last, own = [], [], None, None
-            for row in rows:
-                if last == (row[0], row[4]) and own == row[1:4]:
-                    continue  # a repeated row: one document
-                own = row[1:4]
-                if last == (row[0], row[4]):
-                    out.append((row[1], row[2], row[3], row[3] + width(row[4]), None, None, None, None))
-                else:
-                    last = (row[0], row[4])
-                    firsts.append(row)
-            # a segment's own windows have the anchor at different places, so they differ: one alone has no repeats
-            held = [i and firsts[i - 1][0] == r[0] or i + 1 < len(firsts) and firsts[i + 1][0] == r[0] for i, r in enumerate(firsts)]
-            out += [(*span, None, None, None, None) for span in compare([r for r, keep in zip(firsts, held) if keep])]
-            for i in range(0, len(out), 20_000):
-                yield emit(out[i : i + 20_000])
+                yield batch_of(names, kinds, out)
 
-    order = ["key", "seg", "doc", "tag", "start"]
-    small_batches(texts.sparkSession, 5000, "4m")
-    salted = marked.filter("hot").repartition("key", F.pmod(F.xxhash64("doc", "tag"), F.lit(SALTS))).select(columns)
-    early = cut(salted.sortWithinPartitions(*order).mapInArrow(collapse, schema))
-    rest = marked.filter("hot is null").select(columns).unionByName(early.filter("seg is not null").select(columns))
-    late = rest.repartition("key").sortWithinPartitions(*order).mapInArrow(block, schema)
-    return late.unionByName(early.filter("seg is null")).select("doc", "tag", "s", "e")
-
-
-def spans_of(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """(doc, tag, text, spans array<struct<s,e>>) with the spans of each document, sorted; null where it has none."""
-    lists = cut(spans.groupBy("doc", "tag").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("spans")))
-    t, s = texts.alias("t"), lists.alias("s")
-    return t.join(s, F.col("t.doc").eqNullSafe(F.col("s.doc")) & (F.col("t.tag") == F.col("s.tag")), "left").select("t.doc", "t.tag", "t.text", "s.spans")
-
-
-def merged(spans) -> list[tuple[int, int]]:
-    """Maximal runs of sorted spans; spans that touch are one."""
-    out: list[list[int]] = []
-    for x in spans or []:
-        if out and x["s"] <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], x["e"])
-        else:
-            out.append([x["s"], x["e"]])
-    return [tuple(x) for x in out]
+    return both.select(columns).mapInArrow(go, schema)
