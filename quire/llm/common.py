@@ -40,6 +40,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def cut_and_free(df: DataFrame) -> DataFrame:
+    """cut(), then has the driver look for garbage: shuffle files that only led up to df are deleted now, not at some later collection."""
+    done = cut(df)
+    del df
+    done.sparkSession.sparkContext._jvm.System.gc()
+    return done
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches
+from .common import cut_and_free, small_batches
 
 #: Tokens whose anchors are computed at a time.
 PIECE = 1 << 20
@@ -216,7 +216,7 @@ def repeats(texts: DataFrame, parse, compare: Callable[[list[tuple]], Iterator[t
     compare() takes the different segments (key, doc, tag, start, stop, seg, off, hot) of whole blocks and yields
     spans; split() gives the windows of a segment. Order is by (doc, tag, start), a null id first."""
     small_batches(texts.sparkSession, 20_000, "4m")
-    keys = cut(repeated_keys(texts, parse, window, k))
+    keys = cut_and_free(repeated_keys(texts, parse, window, k))
     found = segments(texts, keys, parse, window, k)
     names, kinds = [c.split()[0] for c in BLOCK.split(", ")], [pa.int64()] * 5 + [pa.binary(), pa.int32(), pa.bool_()]
 
@@ -259,9 +259,9 @@ def repeats(texts: DataFrame, parse, compare: Callable[[list[tuple]], Iterator[t
 
     order = ["key", "seg", "doc", "tag", "start"]
     salt = F.when(F.col("hot") | F.col("seg").isNull(), F.pmod(F.xxhash64("doc", "tag"), F.lit(SALTS))).otherwise(0)
-    judged = cut(found.repartition("key", salt).sortWithinPartitions(*order).mapInArrow(judge, BLOCK))
+    judged = cut_and_free(found.repartition("key", salt).sortWithinPartitions(*order).mapInArrow(judge, BLOCK))
     span = lambda rows: rows.filter("seg IS NULL").select("doc", "tag", F.col("start").alias("s"), F.col("stop").alias("e"))
-    early = cut(judged.filter("seg IS NOT NULL").repartition("key", salt).sortWithinPartitions(*order).mapInArrow(collapse, BLOCK))
+    early = cut_and_free(judged.filter("seg IS NOT NULL").repartition("key", salt).sortWithinPartitions(*order).mapInArrow(collapse, BLOCK))
     late = early.filter("seg IS NOT NULL").repartition("key").sortWithinPartitions(*order).mapInArrow(collapse, BLOCK)
     return span(judged).unionByName(span(early)).unionByName(span(late))
 
