@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,12 +41,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def cut_and_free(df: DataFrame) -> DataFrame:
-    """cut(), then has the driver look for garbage: shuffle files that only led up to df are deleted now, not at some later collection."""
-    done = cut(df)
+def forget_at_exit(spark: SparkSession, path: str) -> str:
+    """Has the driver delete path, in any store that Spark writes to, when it ends."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """Like cut(), but as a table: compressed, by columns. The driver then looks for garbage, so that shuffle files
+    which only led up to df are deleted now, not at some later collection."""
+    spark, schema = df.sparkSession, df.schema
+    path = forget_at_exit(spark, f"{shared_dir(spark)}/saved-{uuid.uuid4().hex}")
+    df.write.option("compression", "zstd").parquet(path)
     del df
-    done.sparkSession.sparkContext._jvm.System.gc()
-    return done
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -8,7 +8,7 @@ equal anchors, so windows are compared only where anchors agree. The steps:
 2. segments: each chunk of texts meets its own repeated anchors. Consecutive windows of one document with
    one anchor travel together, as one segment; equal segments of a batch are one before the shuffle.
 3. blocks: the segments of an anchor are compared. Those of a hot anchor are dealt out by a salt, where
-   equal ones collapse to their first; those left are cut into single windows, which meet by their own hash.
+   equal ones collapse to their first; those left are cut into single windows, which meet by their digest.
 4. finish: each chunk of texts meets the spans that were found in it.
 
 Texts are shuffled twice, by a hash of id and text; all else is a fraction of them. No group is held whole:
@@ -17,23 +17,23 @@ chunks, hot anchors and hot windows are streams of sorted rows, other blocks hav
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_and_free, small_batches
+from .common import saved, small_batches
 
 #: Tokens whose anchors are computed at a time.
 PIECE = 1 << 20
 #: Bytes of text in a chunk, about.
 CHUNK_BYTES = 256 << 10
 #: Occurrences beyond which an anchor is hot, and the tasks that its equal segments, or equal windows, are dealt to first.
-HOT, SALTS = 1000, 64
+HOT, SALTS = 10_000, 64
 #: Bytes of segments that are compared at a time, about; a block is never divided.
 COMPARED = 1 << 20
 #: Different segments of a task that wait for equal ones before they are sent.
@@ -185,9 +185,11 @@ def segments(texts: DataFrame, keys: DataFrame, parse, window: int, k: int) -> D
                         row = (_age(docs[d], tags[d], s), key, docs[d], tags[d], s, e, o, h)
                         other = waiting.setdefault(seg, row)
                         if other[0] != row[0]:
-                            later = max(other, row, key=lambda x: x[0])
-                            spans.append((*later[1:6], None, None, None))
+                            _, key, doc, tag, s, e, *_ = max(other, row, key=lambda x: x[0])
                             waiting[seg] = min(other, row, key=lambda x: x[0])
+                            if spans and spans[-1][1:3] == (doc, tag) and spans[-1][3] <= s <= spans[-1][4] <= e:
+                                key, doc, tag, s, *_ = spans.pop()
+                            spans.append((key, doc, tag, s, e, None, None, None))
                     if len(waiting) > WAITING or len(spans) > WAITING:
                         yield from flush()
         yield from flush()
@@ -216,7 +218,7 @@ def repeats(texts: DataFrame, parse, compare: Callable[[list[tuple]], Iterator[t
     compare() takes the different segments (key, doc, tag, start, stop, seg, off, hot) of whole blocks and yields
     spans; split() gives the windows of a segment. Order is by (doc, tag, start), a null id first."""
     small_batches(texts.sparkSession, 20_000, "4m")
-    keys = cut_and_free(repeated_keys(texts, parse, window, k))
+    keys = saved(repeated_keys(texts, parse, window, k))
     found = segments(texts, keys, parse, window, k)
     names, kinds = [c.split()[0] for c in BLOCK.split(", ")], [pa.int64()] * 5 + [pa.binary(), pa.int32(), pa.bool_()]
 
@@ -232,8 +234,9 @@ def repeats(texts: DataFrame, parse, compare: Callable[[list[tuple]], Iterator[t
         spans, held, size, hot = [], [], 0, []
         for row in _firsts(rows_of(batches), spans):
             if row[7]:
-                for i, seg in enumerate(split(row[5])):
-                    hot.append((xxhash.xxh64_intdigest(seg) - (1 << 63), row[1], row[2], row[3] + i, row[3] + i + window, seg, 0, True))
+                for i, words in enumerate(split(row[5])):
+                    mark = hashlib.blake2b(words, digest_size=16).digest()  # stands for the window: collisions can't be made
+                    hot.append((int.from_bytes(mark[:8], "big", signed=True), row[1], row[2], row[3] + i, row[3] + i + window, mark, 0, True))
             else:
                 if size > COMPARED and held[-1][0] != row[0]:
                     spans += compare(held)
@@ -259,9 +262,9 @@ def repeats(texts: DataFrame, parse, compare: Callable[[list[tuple]], Iterator[t
 
     order = ["key", "seg", "doc", "tag", "start"]
     salt = F.when(F.col("hot") | F.col("seg").isNull(), F.pmod(F.xxhash64("doc", "tag"), F.lit(SALTS))).otherwise(0)
-    judged = cut_and_free(found.repartition("key", salt).sortWithinPartitions(*order).mapInArrow(judge, BLOCK))
+    judged = saved(found.repartition("key", salt).sortWithinPartitions(*order).mapInArrow(judge, BLOCK))
     span = lambda rows: rows.filter("seg IS NULL").select("doc", "tag", F.col("start").alias("s"), F.col("stop").alias("e"))
-    early = cut_and_free(judged.filter("seg IS NOT NULL").repartition("key", salt).sortWithinPartitions(*order).mapInArrow(collapse, BLOCK))
+    early = saved(judged.filter("seg IS NOT NULL").repartition("key", salt).sortWithinPartitions(*order).mapInArrow(collapse, BLOCK))
     late = early.filter("seg IS NOT NULL").repartition("key").sortWithinPartitions(*order).mapInArrow(collapse, BLOCK)
     return span(judged).unionByName(span(early)).unionByName(span(late))
 
