@@ -49,11 +49,12 @@ def forget_at_exit(spark: SparkSession, path: str) -> str:
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """Like cut(), but as a table: compressed, by columns. The driver then looks for garbage, so that shuffle files
-    which only led up to df are deleted now, not at some later collection."""
+    """Like cut(), but as a table: compressed, by columns, in files of the session's advisory size rather than one for
+    each task. The driver then looks for garbage, so that shuffle files which only led up to df are deleted now, not
+    at some later collection."""
     spark, schema = df.sparkSession, df.schema
     path = forget_at_exit(spark, f"{shared_dir(spark)}/saved-{uuid.uuid4().hex}")
-    df.write.option("compression", "zstd").parquet(path)
+    df.hint("rebalance").write.option("compression", "zstd").parquet(path)
     del df
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)

@@ -139,7 +139,7 @@ def dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: s
         joined = b" ".join(kept)
         return (doc, len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest(), *([joined.decode()] if texts else []))
 
-    small_batches(docs.sparkSession, 20_000, "4m")
+    small_batches(docs.sparkSession, 10_000, "2m")
     names, kinds = [id_col, "n_words", "n_removed", "kept_sha256", "kept"], [pa.int64()] * 3 + [pa.string()] * 2
     schema = f"`{id_col}` long, n_words long, n_removed long, kept_sha256 string" + (", kept string" if texts else "")
     return windows.finish(rows, spans, chunk, run, names[: 4 + texts], kinds[: 4 + texts], schema)

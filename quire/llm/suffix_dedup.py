@@ -179,7 +179,7 @@ def dedup(docs: DataFrame, window: int = 100, id_col: str = "doc_id", text_col:
         left = b"".join([*kept, data[at:]])
         return (doc, len(data), len(data) - len(left), len(found), hashlib.sha256(left).hexdigest(), *([left] if texts else []))
 
-    small_batches(docs.sparkSession, 20_000, "4m")
+    small_batches(docs.sparkSession, 10_000, "2m")
     names, kinds = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"], [pa.int64()] * 4 + [pa.string(), pa.binary()]
     schema = f"`{id_col}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if texts else "")
     return windows.finish(rows, spans, chunk, run, names[: 5 + texts], kinds[: 5 + texts], schema)

@@ -129,10 +129,12 @@ def repeated_keys(texts: DataFrame, parse, window: int, k: int) -> DataFrame:
                 new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])]) if len(keys) else order
                 yield pa.record_batch([pa.array(keys[new]), pa.array(owner[new]), pa.array(np.diff(np.r_[new, len(keys)]).astype(np.int32))], ["key", "chunk", "n"])
 
-    # dealt out by key once: counted there, and met by the counts there
-    found = texts.select("chunk", "text").mapInArrow(run, "key long, chunk int, n int").repartition("key")
-    counts = found.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key", (F.col("n") > HOT).alias("hot"))
-    return found.select("key", "chunk").join(counts.hint("shuffle_hash"), "key").select("chunk", "key", "hot")
+    # dealt out by key once: counted there, and met by the counts there. Both sides use all three columns, so
+    # that Spark sees one exchange in them
+    found = texts.select("chunk", "text").mapInArrow(run, "key long, chunk int, n int").filter("key IS NOT NULL AND chunk IS NOT NULL").repartition("key")
+    counts = found.groupBy("key").agg(F.sum("n").alias("total"), F.max("chunk").alias("last")).filter("total > 1")
+    both = found.join(counts.hint("shuffle_hash"), "key").filter("chunk <= last")
+    return both.select("chunk", "key", (F.greatest("n", "total") > HOT).alias("hot"))
 
 
 def segments(texts: DataFrame, keys: DataFrame, parse, window: int, k: int) -> DataFrame:
@@ -217,9 +219,8 @@ def repeats(texts: DataFrame, parse, compare: Callable[[list[tuple]], Iterator[t
 
     compare() takes the different segments (key, doc, tag, start, stop, seg, off, hot) of whole blocks and yields
     spans; split() gives the windows of a segment. Order is by (doc, tag, start), a null id first."""
-    small_batches(texts.sparkSession, 20_000, "4m")
-    keys = saved(repeated_keys(texts, parse, window, k))
-    found = segments(texts, keys, parse, window, k)
+    small_batches(texts.sparkSession, 10_000, "2m")
+    found = segments(texts, repeated_keys(texts, parse, window, k), parse, window, k)
     names, kinds = [c.split()[0] for c in BLOCK.split(", ")], [pa.int64()] * 5 + [pa.binary(), pa.int32(), pa.bool_()]
 
     def rows_of(batches):
