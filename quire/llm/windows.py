@@ -33,7 +33,7 @@ PIECE = 1 << 20
 #: Bytes of text in a chunk, about.
 CHUNK_BYTES = 256 << 10
 #: Occurrences beyond which an anchor is hot, and the tasks that its equal segments, or equal windows, are dealt to first.
-HOT, SALTS = 10_000, 64
+HOT, SALTS = 2_000, 64
 #: Bytes of segments that are compared at a time, about; a block is never divided.
 COMPARED = 1 << 20
 #: Different segments of a task that wait for equal ones before they are sent.
@@ -220,24 +220,26 @@ def repeats(texts: DataFrame, parse, compare: Callable[[list[tuple]], Iterator[t
     compare() takes the different segments (key, doc, tag, start, stop, seg, off, hot) of whole blocks and yields
     spans; split() gives the windows of a segment. Order is by (doc, tag, start), a null id first."""
     small_batches(texts.sparkSession, 10_000, "2m")
-    found = segments(texts, repeated_keys(texts, parse, window, k), parse, window, k)
+    keys = saved(repeated_keys(texts, parse, window, k))
+    found = segments(texts, keys, parse, window, k)
     names, kinds = [c.split()[0] for c in BLOCK.split(", ")], [pa.int64()] * 5 + [pa.binary(), pa.int32(), pa.bool_()]
 
     def rows_of(batches):
         for b in batches:
             yield from zip(*(c.to_pylist() for c in b.columns))
 
-    def send(rows: list[tuple]):
-        for i in range(0, len(rows), 10_000):
-            yield batch_of(names, kinds, rows[i : i + 10_000])
+    def send(rows: list[tuple], spans: list[tuple]):
+        out = rows + [(None, *s, None, None, None) for s in spans]
+        rows.clear()
+        spans.clear()
+        for i in range(0, len(out), 10_000):
+            yield batch_of(names, kinds, out[i : i + 10_000])
 
     def judge(batches):
         spans, held, size, hot = [], [], 0, []
         for row in _firsts(rows_of(batches), spans):
             if row[7]:
-                for i, words in enumerate(split(row[5])):
-                    mark = hashlib.blake2b(words, digest_size=16).digest()  # stands for the window: collisions can't be made
-                    hot.append((int.from_bytes(mark[:8], "big", signed=True), row[1], row[2], row[3] + i, row[3] + i + window, mark, 0, True))
+                hot.append(row)
             else:
                 if size > COMPARED and held[-1][0] != row[0]:
                     spans += compare(held)
@@ -245,27 +247,34 @@ def repeats(texts: DataFrame, parse, compare: Callable[[list[tuple]], Iterator[t
                 held.append(row)
                 size += len(row[5])
             if len(hot) + len(spans) > 20_000:
-                yield from send(hot + [(None, d, t, s, e, None, None, None) for d, t, s, e in spans])
-                hot.clear()
-                spans.clear()
+                yield from send(hot, spans)
         spans += compare(held)
-        yield from send(hot + [(None, d, t, s, e, None, None, None) for d, t, s, e in spans])
+        yield from send(hot, spans)
+
+    def single(batches):
+        out = []
+        for _, doc, tag, start, _, seg, *_ in rows_of(batches):
+            for i, tokens in enumerate(split(seg)):
+                mark = hashlib.blake2b(tokens, digest_size=16).digest()  # stands for the window: collisions can't be made
+                out.append((int.from_bytes(mark[:8], "big", signed=True), doc, tag, start + i, start + i + window, mark, 0, True))
+            if len(out) > 20_000:
+                yield from send(out, [])
+        yield from send(out, [])
 
     def collapse(batches):
         spans, out = [], []
         for row in _firsts(rows_of(batches), spans):
             out.append(row)
             if len(out) + len(spans) > 20_000:
-                yield from send(out + [(None, d, t, s, e, None, None, None) for d, t, s, e in spans])
-                out.clear()
-                spans.clear()
-        yield from send(out + [(None, d, t, s, e, None, None, None) for d, t, s, e in spans])
+                yield from send(out, spans)
+        yield from send(out, spans)
 
     order = ["key", "seg", "doc", "tag", "start"]
     salt = F.when(F.col("hot") | F.col("seg").isNull(), F.pmod(F.xxhash64("doc", "tag"), F.lit(SALTS))).otherwise(0)
-    judged = saved(found.repartition("key", salt).sortWithinPartitions(*order).mapInArrow(judge, BLOCK))
     span = lambda rows: rows.filter("seg IS NULL").select("doc", "tag", F.col("start").alias("s"), F.col("stop").alias("e"))
-    early = saved(judged.filter("seg IS NOT NULL").repartition("key", salt).sortWithinPartitions(*order).mapInArrow(collapse, BLOCK))
+    judged = saved(found.repartition("key", salt).sortWithinPartitions(*order).mapInArrow(judge, BLOCK))
+    alone = judged.filter("seg IS NOT NULL").mapInArrow(single, BLOCK)
+    early = saved(alone.repartition("key", salt).sortWithinPartitions(*order).mapInArrow(collapse, BLOCK))
     late = early.filter("seg IS NOT NULL").repartition("key").sortWithinPartitions(*order).mapInArrow(collapse, BLOCK)
     return span(judged).unionByName(span(early)).unionByName(span(late))
 
