@@ -56,6 +56,7 @@ def saved(df: DataFrame) -> DataFrame:
     path = forget_at_exit(spark, f"{shared_dir(spark)}/saved-{uuid.uuid4().hex}")
     df.hint("rebalance").write.option("compression", "zstd").parquet(path)
     del df
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()  # events that aren't handled yet hold on to the plan
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
 

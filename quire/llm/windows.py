@@ -33,7 +33,7 @@ PIECE = 1 << 20
 #: Bytes of text in a chunk, about.
 CHUNK_BYTES = 256 << 10
 #: Occurrences beyond which an anchor is hot, and the tasks that its equal segments, or equal windows, are dealt to first.
-HOT, SALTS = 2_000, 64
+HOT, SALTS = 1_000, 64
 #: Bytes of segments that are compared at a time, about; a block is never divided.
 COMPARED = 1 << 20
 #: Different segments of a task that wait for equal ones before they are sent.
