@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
 
@@ -56,8 +58,11 @@ def saved(df: DataFrame) -> DataFrame:
     path = forget_at_exit(spark, f"{shared_dir(spark)}/saved-{uuid.uuid4().hex}")
     df.hint("rebalance").write.option("compression", "zstd").parquet(path)
     del df
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()  # events that aren't handled yet hold on to the plan
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # plans are held by frames of Python, by events that aren't handled yet, and by what the first round finalizes
+        gc.collect()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
     return spark.read.schema(schema).parquet(path)
 
 
