@@ -50,15 +50,15 @@ def forget_at_exit(spark: SparkSession, path: str) -> str:
     return path
 
 
-def saved(df: DataFrame) -> DataFrame:
+def saved(df: DataFrame, free: bool = False) -> DataFrame:
     """Like cut(), but as a table: compressed, by columns, in files of the session's advisory size rather than one for
-    each task. The driver then looks for garbage, so that shuffle files which only led up to df are deleted now, not
-    at some later collection."""
+    each task. With free, the driver then looks for garbage, so that shuffle files which only led up to df are deleted
+    now, not at some later collection."""
     spark, schema = df.sparkSession, df.schema
     path = forget_at_exit(spark, f"{shared_dir(spark)}/saved-{uuid.uuid4().hex}")
     df.hint("rebalance").write.option("compression", "zstd").parquet(path)
     del df
-    for _ in range(2):  # plans are held by frames of Python, by events that aren't handled yet, and by what the first round finalizes
+    for _ in range(2 * free):  # plans are held by frames of Python, by events that aren't handled yet, and by what the first round finalizes
         gc.collect()
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
         spark.sparkContext._jvm.System.gc()

@@ -124,11 +124,11 @@ def dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: s
     """
     rows, chunk = windows.chunked(docs, id_col, text_col)
 
-    def split(seg: bytes) -> list[bytes]:
+    def split(seg: bytes) -> tuple[list[bytes], int]:
         words = seg.split(b" ")
-        return [b" ".join(words[i : i + window]) for i in range(len(words) - window + 1)]
+        return words, len(words) - window + 1
 
-    spans = windows.repeats(rows, parse, lambda held: factor(held, window), split, window, KGRAM)
+    spans = windows.repeats(rows, parse, lambda held: factor(held, window), split, b" ".join, window, KGRAM)
 
     def run(doc, text, found):
         words, at, kept = text.encode().split(), 0, []

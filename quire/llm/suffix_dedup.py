@@ -168,8 +168,8 @@ def dedup(docs: DataFrame, window: int = 100, id_col: str = "doc_id", text_col:
     A null id comes first; ids are whole numbers. Other columns aren't read. Without texts, kept is left out.
     """
     rows, chunk = windows.chunked(docs, id_col, text_col)
-    split = lambda seg: [seg[i : i + window] for i in range(len(seg) - window + 1)]
-    spans = windows.repeats(rows, parse, lambda held: repeated(held, window), split, window, KGRAM)
+    split = lambda seg: (seg, len(seg) - window + 1)
+    spans = windows.repeats(rows, parse, lambda held: repeated(held, window), split, bytes, window, KGRAM)
 
     def run(doc, text, found):
         data, at, kept = text.encode(), 0, []

@@ -8,7 +8,8 @@ equal anchors, so windows are compared only where anchors agree. The steps:
 2. segments: each chunk of texts meets its own repeated anchors. Consecutive windows of one document with
    one anchor travel together, as one segment; equal segments of a batch are one before the shuffle.
 3. blocks: the segments of an anchor are compared. Those of a hot anchor are dealt out by a salt, where
-   equal ones collapse to their first; those left are cut into single windows, which meet by their digest.
+   equal ones collapse to their first. Those left are cut into parts, which meet by the tokens that all of a
+   part's windows share; parts that nothing meets go, hot ones are cut again, down to single windows.
 4. finish: each chunk of texts meets the spans that were found in it.
 
 Texts are shuffled twice, by a hash of id and text; all else is a fraction of them. No group is held whole:
@@ -33,7 +34,9 @@ PIECE = 1 << 20
 #: Bytes of text in a chunk, about.
 CHUNK_BYTES = 256 << 10
 #: Occurrences beyond which an anchor is hot, and the tasks that its equal segments, or equal windows, are dealt to first.
-HOT, SALTS = 1_000, 64
+HOT, SALTS = 2_000, 64
+#: Places of the anchor that windows of a hot anchor's segments share, level by level, as long as they are hot.
+PARTS = (16, 4, 1)
 #: Bytes of segments that are compared at a time, about; a block is never divided.
 COMPARED = 1 << 20
 #: Different segments of a task that wait for equal ones before they are sent.
@@ -214,11 +217,11 @@ def _firsts(rows: Iterator[tuple], spans: list[tuple]) -> Iterator[tuple]:
             yield row
 
 
-def repeats(texts: DataFrame, parse, compare: Callable[[list[tuple]], Iterator[tuple[int, int, int, int]]], split: Callable[[bytes], list[bytes]], window: int, k: int) -> DataFrame:
+def repeats(texts: DataFrame, parse, compare: Callable[[list[tuple]], Iterator[tuple[int, int, int, int]]], split: Callable[[bytes], tuple], joined: Callable, window: int, k: int) -> DataFrame:
     """(doc, tag, s, e): tokens covered by windows that also start earlier.
 
     compare() takes the different segments (key, doc, tag, start, stop, seg, off, hot) of whole blocks and yields
-    spans; split() gives the windows of a segment. Order is by (doc, tag, start), a null id first."""
+    spans; split() gives the tokens of a segment and how many windows it has, joined() the bytes of tokens. Order is by (doc, tag, start), a null id first."""
     small_batches(texts.sparkSession, 10_000, "2m")
     keys = saved(repeated_keys(texts, parse, window, k))
     found = segments(texts, keys, parse, window, k)
@@ -251,15 +254,28 @@ def repeats(texts: DataFrame, parse, compare: Callable[[list[tuple]], Iterator[t
         spans += compare(held)
         yield from send(hot, spans)
 
-    def single(batches):
-        out = []
-        for _, doc, tag, start, _, seg, *_ in rows_of(batches):
-            for i, tokens in enumerate(split(seg)):
-                mark = hashlib.blake2b(tokens, digest_size=16).digest()  # stands for the window: collisions can't be made
-                out.append((int.from_bytes(mark[:8], "big", signed=True), doc, tag, start + i, start + i + window, mark, 0, True))
-            if len(out) > 20_000:
-                yield from send(out, [])
-        yield from send(out, [])
+    def apart(width: int):
+        """Segments cut by the anchor's place within their windows, width places together. Windows of such a part share
+        a core of tokens, by which the parts of equal windows meet; a single window is its core, and its digest stands for it."""
+
+        def run(batches):
+            out = []
+            for key, doc, tag, start, _, seg, off, _ in rows_of(batches):
+                tokens, n = split(seg)
+                at = 0
+                while at < n:
+                    group = (off - at) // width
+                    to = min(n, off - group * width + 1)  # behind the last window whose anchor has a place in the group
+                    core = joined(tokens[off - group * width : off - group * width - width + 1 + window])
+                    mark = hashlib.blake2b(core, digest_size=16, salt=group.to_bytes(4, "big"), key=key.to_bytes(8, "big", signed=True)).digest()
+                    part = mark if width == 1 else joined(tokens[at : to - 1 + window])
+                    out.append((int.from_bytes(mark[:8], "big", signed=True), doc, tag, start + at, start + to - 1 + window, part, off - at, True))
+                    at = to
+                if len(out) > 20_000:
+                    yield from send(out, [])
+            yield from send(out, [])
+
+        return run
 
     def collapse(batches):
         spans, out = [], []
@@ -272,11 +288,20 @@ def repeats(texts: DataFrame, parse, compare: Callable[[list[tuple]], Iterator[t
     order = ["key", "seg", "doc", "tag", "start"]
     salt = F.when(F.col("hot") | F.col("seg").isNull(), F.pmod(F.xxhash64("doc", "tag"), F.lit(SALTS))).otherwise(0)
     span = lambda rows: rows.filter("seg IS NULL").select("doc", "tag", F.col("start").alias("s"), F.col("stop").alias("e"))
-    judged = saved(found.repartition("key", salt).sortWithinPartitions(*order).mapInArrow(judge, BLOCK))
-    alone = judged.filter("seg IS NOT NULL").mapInArrow(single, BLOCK)
-    early = saved(alone.repartition("key", salt).sortWithinPartitions(*order).mapInArrow(collapse, BLOCK))
-    late = early.filter("seg IS NOT NULL").repartition("key").sortWithinPartitions(*order).mapInArrow(collapse, BLOCK)
-    return span(judged).unionByName(span(early)).unionByName(span(late))
+    judged = saved(found.repartition("key", salt).sortWithinPartitions(*order).mapInArrow(judge, BLOCK), free=True)
+    spans = span(judged)
+    for width in PARTS:
+        hot = judged.filter("seg IS NOT NULL")
+        if hot.isEmpty():
+            return spans
+        parts = saved(hot.mapInArrow(apart(width), BLOCK))
+        counts = parts.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key", (F.col("n") > HOT).alias("is_hot"))
+        again = parts.join(counts, "key").withColumn("hot", F.col("is_hot")).select(names)
+        judged = saved(again.repartition("key", salt).sortWithinPartitions(*order).mapInArrow(collapse if width == 1 else judge, BLOCK))
+        spans = spans.unionByName(span(judged))
+    # the first of each salt's equal windows
+    late = judged.filter("seg IS NOT NULL").repartition("key").sortWithinPartitions(*order).mapInArrow(collapse, BLOCK)
+    return spans.unionByName(span(late))
 
 
 def finish(texts: DataFrame, spans: DataFrame, chunk: Column, run: Callable[[object, str, list[tuple[int, int]]], tuple], names: list[str], kinds: list, schema: str) -> DataFrame:
