@@ -2,7 +2,7 @@
 
 Documents are counted by source and exact size. A source's target takes whole passes over it; what remains
 is first filled with the same share of every size, then fitted by a bounded-knapsack dynamic program over
-the counts that are left. Of each size, as many documents as it needs are taken in the order of a seeded hash.
+the counts that are left, from a coarse unit to single words. Of each size, as many documents as it needs are taken in the order of a seeded hash.
 """
 
 from __future__ import annotations
@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from .common import WORD, cut
 
-#: Words that the dynamic program fits at most, for each source; what is above is filled greedily before.
+#: Words, or coarser units of them, that the dynamic program fits at a time for each source.
 FIT_WORDS = 1 << 16
+#: Share of a budget by which a mix that looks like its source may miss it.
+NEAR = 0.001
 #: Rows of a (source, size) that one task ranks, about: larger groups are split by their hash.
 RANKED = 50_000
 
@@ -45,20 +47,35 @@ def subset_sum(sizes: Sequence[int], counts: Sequence[int], budget: int) -> list
 def fit(sizes: list[int], counts: list[int], budget: int) -> list[int]:
     """Documents to take of each size, within a budget of any height.
 
-    Every size gives the budget's share of its documents, so that the mix looks like the source; then larger
-    sizes are topped up until FIT_WORDS at most remain, and subset_sum() fits these."""
-    total = sum(s * c for s, c in zip(sizes, counts))
-    if budget >= total:
+    Every size gives the budget's share of its documents, so that the mix looks like the source, and filled() fits
+    the rest. Where that stays more than NEAR of the budget below it, as with few long documents, filled() has the
+    whole budget, if this comes nearer."""
+    total = lambda picks: sum(s * p for s, p in zip(sizes, picks))
+    if budget >= total(counts):
         return list(counts)
-    taken = [c * budget // total for c in counts]
-    rest = budget - sum(s * t for s, t in zip(sizes, taken))
-    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
-        if rest > FIT_WORDS and sizes[i] > 0:
-            more = min(counts[i] - taken[i], (rest - FIT_WORDS) // sizes[i])
-            taken[i], rest = taken[i] + more, rest - more * sizes[i]
-    # sizes above the limit could stay open only if nothing smaller was left, and then they don't fit either
-    more = subset_sum(sizes, [c - t for c, t in zip(counts, taken)], min(rest, FIT_WORDS * 2))
-    return [t + m for t, m in zip(taken, more)]
+    taken = filled(sizes, counts, budget, [c * budget // total(counts) for c in counts])
+    if budget - total(taken) > NEAR * budget:
+        taken = max(taken, filled(sizes, counts, budget, [0] * len(sizes)), key=total)
+    return taken
+
+
+def filled(sizes: list[int], counts: list[int], budget: int, taken: list[int]) -> list[int]:
+    """taken and what subset_sum() fits into the rest of the budget.
+
+    Above FIT_WORDS it counts in a coarser unit, sizes rounded up, so that the sum stays within the budget; what this
+    leaves open is fitted again, in a finer unit, until it is counted word by word."""
+    taken, rest = list(taken), budget - sum(s * t for s, t in zip(sizes, taken))
+    while True:
+        unit = -(-rest // FIT_WORDS) or 1
+        open_ = [i for i, s in enumerate(sizes) if 0 < s <= rest and taken[i] < counts[i]]
+        more = subset_sum([-(-sizes[i] // unit) for i in open_], [counts[i] - taken[i] for i in open_], rest // unit)
+        if not any(more) and open_ and unit > 1:  # only rounding keeps the largest that fits out
+            more[max(range(len(open_)), key=lambda j: sizes[open_[j]])] = 1
+        for i, m in zip(open_, more):
+            taken[i] += m
+            rest -= m * sizes[i]
+        if unit == 1 or not any(more):
+            return taken
 
 
 def targets(sources: DataFrame, weights: Sequence[int] = (5, 2, 1), total_share: float = 1.5, most: float = 2.0) -> DataFrame:
