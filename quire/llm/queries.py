@@ -42,7 +42,7 @@ def op6_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = warc.archive_round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
-    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "position")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,11 +73,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op7_warc": """
-        WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
-        q AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS last_id FROM p)
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h,
+                          lower(CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE coalesce(url, '') END) AS rest FROM pages),
+        q AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS last_id, split_part(split_part(rest, '/', 1), '@', -1) AS host,
+                     CASE WHEN contains(rest, '/') THEN substr(rest, instr(rest, '/') + 1) ELSE '' END AS path FROM p),
+        k AS (SELECT *, CASE WHEN split_part(rest, '/', 1) <> '' THEN array_to_string(list_reverse(string_split(split_part(host, ':', 1), '.')), ',') || ')/' || path ELSE '' END AS url_key,
+                     strftime(make_timestamp((1577836800 + page_id % 1576800000) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS captured FROM q)
         SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
                list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, (i // 8)::INT * 10 + 1, 10))::BIGINT >> (35 - 5 * (i % 8))) & 31) + 1)::INT, 1)), 'string_agg', '') AS payload_digest,
                CASE WHEN page_id = last_id THEN 'response' ELSE 'revisit' END AS record_type,
-               CASE WHEN page_id <> last_id THEN last_id END AS refers_to
-        FROM q""",
+               CASE WHEN page_id <> last_id THEN last_id END AS refers_to,
+               url_key, captured, row_number() OVER (ORDER BY url_key, captured, page_id) - 1 AS position
+        FROM k""",
 }

@@ -1,27 +1,31 @@
 """WARC archives with revisit records, and their capture index by an external merge.
 
-write_archives() puts a record for each page into gzipped archives, read_archives() parses them by their
-Content-Length and gives, file by file, locally sorted runs of captures, and merge_index() merges these runs
-with a loser tree for each range of URL keys into one globally ordered capture history.
+write_archives() puts a record for each page into archives, a gzip member for each record, so that an index's
+offset is a place to read from. read_archives() parses them and gives, archive by archive, locally sorted runs
+of captures, with sizes and digests of the payloads that were read. merge_index() merges the runs of a range of URL
+keys with a loser tree into one globally ordered capture history; runs wait in temporary files, not in memory.
 """
 
 from __future__ import annotations
 
-import gzip
-import io
+import base64
+import hashlib
+import tempfile
 import uuid
+import zlib
+from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, shared_dir, small_batches
+from .common import cut, forget_at_exit, shared_dir, small_batches
 
-#: Bytes of payload for each archive, about.
-ARCHIVE_BYTES = 16 << 20
 #: WARC-Date of page 0, in seconds since 1970; each page is captured a second after the one before.
 FIRST_CAPTURE = 1_577_836_800
 DAY_SECONDS = 86_400 * 365 * 50
+#: Runs that are merged at a time, rows of a block of a run, and bytes of a run that stay in memory.
+FAN_IN, RUN_ROWS, RUN_BYTES = 64, 1000, 1 << 20
 
 CAPTURE = "url_key string, captured string, page_id long, record_type string, payload_digest string, payload_bytes long, refers_to long, archive string, offset long"
 
@@ -37,17 +41,18 @@ def plan_records(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id",
     """(page_id, url, payload, digest, refers_to): which record each page gets; refers_to is null for a response.
 
     Of pages with equal payloads of min_bytes or more, that with the largest id is the response; should rows
-    repeat this id, each is a response. A null id counts below every other. Only (digest, id) is aggregated,
-    before the shuffle too; the digests go back to the pages without their payloads, by id.
+    repeat this id, each is a response. A null id counts below every other. Digests and ids are aggregated,
+    partially before their shuffle, and what a digest's pages refer to meets them by digest and id: payloads are
+    shuffled once, and by a key that no payload's many copies share.
     """
     named = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
-    digests = named.select("page_id", base32_sha1(F.encode("payload", "UTF-8")).alias("digest"), F.octet_length("payload").alias("size")).filter(F.col("size") >= min_bytes)
-    copies = digests.groupBy("digest").agg(F.max("page_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1 and first_id is not null").select("digest", "first_id")
     named = named.withColumn("digest", base32_sha1(F.encode("payload", "UTF-8")))
-    # A payload's length is fixed by its digest, so pages under min_bytes find no row here.
-    found = named.join(copies, "digest", "left")
-    refers = F.when(F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id"))
-    return found.select("page_id", "url", "payload", "digest", refers.alias("refers_to"))
+    ids = named.filter(F.octet_length("payload") >= min_bytes).select("page_id", "digest")
+    copies = cut(ids.groupBy("digest").agg(F.max("page_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1 and first_id is not null").select("digest", "first_id"))
+    # rows of a null id and one digest are alike; the rest are told apart by the pair
+    revisits = ids.join(copies, "digest").filter(~F.col("page_id").eqNullSafe(F.col("first_id"))).select(F.col("page_id").alias("id"), F.col("digest").alias("of"), F.col("first_id").alias("refers_to")).distinct()
+    found = named.join(revisits, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of")), "left")
+    return found.select("page_id", "url", "payload", "digest", "refers_to")
 
 
 def record_text() -> Column:
@@ -71,35 +76,56 @@ def record_text() -> Column:
     )
 
 
+def member(record: bytes) -> bytes:
+    """The record as a gzip member without its last byte, which is zero: the writer's line end gives it back.
+
+    A member ends in the highest byte of the record's size; where that isn't zero, an empty member follows."""
+    packer = zlib.compressobj(4, zlib.DEFLATED, 31)
+    out = packer.compress(record) + packer.flush()
+    if out[-1]:
+        packer = zlib.compressobj(4, zlib.DEFLATED, 31)
+        out += packer.flush()
+    return out[:-1]
+
+
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, **columns: str) -> None:
-    """Writes gzipped archives of about ARCHIVE_BYTES under path, by Spark's own committer: a lost or repeated
+    """Writes archives under path, one for each partition of the session's advisory size, by Spark's own committer: a lost or repeated
     task leaves no half archive, and any store that Spark writes to will do. An empty table writes an empty archive."""
+    small_batches(pages.sparkSession, 500, "4m")
     planned = plan_records(pages, min_bytes, **columns)
-    total = pages.select(F.sum(F.octet_length(F.col(columns.get("payload_col", "html"))))).first()[0] or 0
-    records = planned.select(record_text().alias("value"))
-    records.repartition(max(1, -(-total // ARCHIVE_BYTES))).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").mode("overwrite").text(path)
-
-
-def parse_archive(data: bytes):
-    """(offset, headers, block) of each record, in order."""
-    with gzip.GzipFile(fileobj=io.BytesIO(data)) as stream:
-        lines = io.BufferedReader(stream, 1 << 20)
-        offset = 0
-        while first := lines.readline():
-            if first.strip() != b"WARC/1.1":
-                raise ValueError(f"no record at {offset}")
-            size, headers = len(first), {}
-            while (line := lines.readline()).strip():
-                size += len(line)
-                name, _, value = line.decode().partition(":")
-                headers[name.lower()] = value.strip()
-            length = int(headers["content-length"])
-            block = lines.read(length)
-            if len(block) < length:
-                raise ValueError(f"the record at {offset} is cut off")
-            lines.read(4)
-            yield offset, headers, block
-            offset += size + len(line) + length + 4
+
+    def pack(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([member(r.as_buffer().to_pybytes() + b"\r\n\r\n") for r in b.column(0).cast(pa.large_binary())], pa.binary())], ["member"])
+
+    members = planned.select(record_text().alias("record")).mapInArrow(pack, "member binary")
+    # the bytes go through as they are; the line end is the zero byte that they lack
+    members.select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\0").mode("overwrite").text(path)
+
+
+def parse_archive(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    """(offset, headers, block) of each record, in order; a reader can begin at any offset."""
+    view, at = memoryview(data), 0
+    while at < len(data):
+        start, parts, unpacker = at, [], zlib.decompressobj(31)
+        while not unpacker.eof:
+            piece = view[at : at + (1 << 16)]
+            if not len(piece):
+                raise ValueError(f"the record at {start} is cut off")
+            parts.append(unpacker.decompress(piece))
+            at += len(piece) - len(unpacker.unused_data)
+        record = b"".join(parts)
+        if not record:
+            continue
+        head, _, rest = record.partition(b"\r\n\r\n")
+        first, *lines = head.decode().split("\r\n")
+        if first != "WARC/1.1":
+            raise ValueError(f"no record at {start}")
+        headers = {name.lower(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
+        length = int(headers["content-length"])
+        if len(rest) != length + 4:
+            raise ValueError(f"the record at {start} is cut off")
+        yield start, headers, rest[:length]
 
 
 def url_key(url: str) -> str:
@@ -122,14 +148,19 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
             for name, data in zip(b.column(0).to_pylist(), b.column(1)):
                 rows = []
                 for offset, h, block in parse_archive(data.as_py()):
-                    http, _, _ = block.partition(b"\r\n\r\n")
-                    length = int(http.rpartition(b"Content-Length: ")[2])
-                    rows.append((url_key(h.get("warc-target-uri", "")), h["warc-date"], number(h["warc-record-id"]), h["warc-type"], h["warc-payload-digest"].removeprefix("sha1:"), length, number(h.get("warc-refers-to")), name.rpartition("/")[2], offset))
+                    http, _, payload = block.partition(b"\r\n\r\n")
+                    digest, length = h["warc-payload-digest"].removeprefix("sha1:"), int(http.rpartition(b"Content-Length: ")[2])
+                    if h["warc-type"] == "response":  # a revisit has no payload of its own
+                        read = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+                        if (read, len(payload)) != (digest, length):
+                            raise ValueError(f"{name}: the payload at {offset} isn't the one that its headers tell")
+                        digest, length = read, len(payload)
+                    rows.append((url_key(h.get("warc-target-uri", "")), h["warc-date"], number(h["warc-record-id"]), h["warc-type"], digest, length, number(h.get("warc-refers-to")), name.rpartition("/")[2], offset))
                 rows.sort(key=order)
                 if rows:
-                    yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), KINDS)], NAMES)
+                    yield batch_of(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
     return files.mapInArrow(run, CAPTURE)
 
 
@@ -137,6 +168,10 @@ NAMES = [part.split()[0] for part in CAPTURE.split(", ")]
 KINDS = [pa.int64() if part.endswith("long") else pa.string() for part in CAPTURE.split(", ")]
 
 
+def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), KINDS)], NAMES)
+
+
 def order(row: tuple):
     """The order of captures; a null id comes first."""
     return row[0], row[1], row[2] is not None, row[2] or 0, row[7], row[8]
@@ -179,34 +214,86 @@ class LoserTree:
             self.replay(top)
 
 
+class Run:
+    """A sorted run that is written once and then read once, block by block; small ones stay in memory, larger ones go to a
+    temporary file of the task, which is gone when it's closed."""
+
+    def __init__(self, rows: Iterator[tuple] = ()):
+        self.file, self.rows = tempfile.SpooledTemporaryFile(RUN_BYTES), []
+        self.writer = pa.ipc.new_stream(self.file, pa.schema(list(zip(NAMES, KINDS))))
+        for row in rows:
+            self.add(row)
+
+    def add(self, row: tuple) -> None:
+        self.rows.append(row)
+        if len(self.rows) == RUN_ROWS:
+            self.writer.write_batch(batch_of(self.rows))
+            self.rows = []
+
+    def __iter__(self):
+        if self.rows:
+            self.writer.write_batch(batch_of(self.rows))
+            self.rows = []
+        self.writer.close()
+        self.file.seek(0)
+        with self.file, pa.ipc.open_stream(self.file) as blocks:
+            for block in blocks:
+                yield from zip(*(c.to_pylist() for c in block.columns))
+
+
+def merged(runs: Iterator[Run]) -> Iterator[tuple]:
+    """All rows of the runs in order; FAN_IN runs at most are open, so that many are merged to longer runs first."""
+    held: list[list[Run]] = [[]]  # by how often they have been merged
+    for run in runs:
+        held[0].append(run)
+        for level in range(len(held)):
+            if len(held[level]) == FAN_IN:
+                longer = Run(LoserTree(held[level], order))
+                held[level] = []
+                if level + 1 == len(held):
+                    held.append([])
+                held[level + 1].append(longer)
+    left = [run for level in reversed(held) for run in level]
+    while len(left) > FAN_IN:
+        left = [*left[FAN_IN:], Run(LoserTree(left[:FAN_IN], order))]
+    return iter(LoserTree(left, order))
+
+
 def merge_index(captures: DataFrame, partitions: int | None = None) -> DataFrame:
-    """The captures in global order: columns of CAPTURE, with (index_part int, position long), by which they're ordered.
+    """The captures in global order: columns of CAPTURE, with (index_part int, position long): position counts from 0 over
+    all parts.
 
     Ranges of (URL key, time, page) are dealt out, so a URL or host with very many captures takes several
     parts; within each, the pieces of the runs are merged by a loser tree.
     """
-    spark = captures.sparkSession
-    small_batches(spark, 10_000, "8m")
+    small_batches(captures.sparkSession, 10_000, "4m")
     # equal keys that repeat without end still spread: archive and offset are part of the range
-    keys = ["url_key", "captured", "page_id", "archive", "offset"]
+    keys = [F.col("url_key"), F.col("captured"), F.col("page_id").asc_nulls_first(), F.col("archive"), F.col("offset")]
     dealt = captures.repartitionByRange(partitions, *keys) if partitions else captures.repartitionByRange(*keys)
 
     def run(batches):
         from pyspark import TaskContext
 
-        part, pieces = TaskContext.get().partitionId(), {}
-        for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns)):
-                pieces.setdefault(row[7], []).append(row)
-        runs = []
-        for piece in pieces.values():
-            if any(order(x) > order(y) for x, y in zip(piece, piece[1:])):  # fetched in another order
-                piece.sort(key=order)
-            runs.append(piece)
-        out, position = [], 0
-        for row in LoserTree(runs, order):
+        part = TaskContext.get().partitionId()
+
+        def runs():
+            now = last = piece = None
+            for b in batches:
+                for row in zip(*(c.to_pylist() for c in b.columns)):
+                    if row[7] != now:
+                        if piece:
+                            yield piece
+                        now, piece, last = row[7], Run(), None
+                    if last is not None and order(row) < last:
+                        raise ValueError(f"the run of {now} isn't sorted")
+                    last = order(row)
+                    piece.add(row)
+            if piece:
+                yield piece
+
+        out = []
+        for position, row in enumerate(merged(runs())):
             out.append((*row, part, position))
-            position += 1
             if len(out) == 10_000:
                 yield batch(out)
                 out = []
@@ -216,16 +303,22 @@ def merge_index(captures: DataFrame, partitions: int | None = None) -> DataFrame
     def batch(rows):
         return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), [*KINDS, pa.int32(), pa.int64()])], [*NAMES, "index_part", "position"])
 
-    return dealt.mapInArrow(run, f"{CAPTURE}, index_part int, position long")
+    # a run's rows come one after another, in the run's own order
+    pieces = dealt.sortWithinPartitions("archive", *keys[:3], "offset")
+    index = cut(pieces.mapInArrow(run, f"{CAPTURE}, index_part int, position long"))
+    # a row for each part
+    counts = index.groupBy("index_part").agg(F.count("*").alias("n"))
+    earlier = counts.select("index_part", (F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("index_part")) - F.col("n")).alias("shift"))
+    return index.join(F.broadcast(earlier), "index_part").withColumn("position", F.col("position") + F.col("shift")).drop("shift")
 
 
 def archive_round_trip(pages: DataFrame, min_bytes: int = 0, **columns: str) -> DataFrame:
     """Writes the archives to the shared folder, reads them back and merges their index; one row for each page row.
 
     Null payloads are empty, null URLs have no target and the empty key, null ids stay null. Repeated rows
-    have a record each.
+    have a record each. Ids are whole numbers. The archives are deleted when the driver ends.
     """
     spark = pages.sparkSession
-    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    path = forget_at_exit(spark, f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}")
     write_archives(pages, path, min_bytes, **columns)
     return merge_index(cut(read_archives(spark, path)))
