@@ -55,12 +55,53 @@ def parse_region(name: Column) -> Column:
     return F.when(kind.isNotNull(), F.struct(order.cast("int").alias("order"), kind.alias("type")))
 
 
+def padded(prefix: str, digits: int, number: Column) -> Column:
+    """The number with leading zeros; a longer one stays whole."""
+    return F.format_string(f"{prefix}%0{digits}d", number.cast("long"))
+
+
 def line_id(region: Column, number: Column) -> Column:
-    return F.concat(region, F.lit("/line_"), F.lpad(number.cast("string"), 3, "0"))
+    return F.concat(region, F.lit("/"), padded("line_", 3, number))
 
 
 def page_id(number: Column) -> Column:
-    return F.concat(F.lit("page_"), F.lpad(number.cast("string"), 4, "0"))
+    return padded("page_", 4, number)
+
+
+def page_artifact_id(number: Column, method: Column) -> Column:
+    return F.concat(page_id(number), F.lit("_"), method)
+
+
+def region_name(order: Column, kind: Column) -> Column:
+    return F.concat(padded("region_", 2, order), F.lit("_"), kind)
+
+
+def base_id(name: Column) -> Column:
+    """The id without the method that made it."""
+    return F.regexp_replace(name, "_(?:human|auto)$", "")
+
+
+def page_number(name: Column) -> Column:
+    """The number within page_NNNN, else null."""
+    return F.nullif(F.regexp_extract(name, r"^page_(\d+)", 1), F.lit("")).cast("long")
+
+
+def region_of_column(number: Column) -> Column:
+    """The region that stands for a numbered column: 1 left, 2 right, others keep their number as a column."""
+    return F.when(number == 1, "region_01_left").when(number == 2, "region_02_right").otherwise(F.concat(F.lit("column_"), number.cast("string")))
+
+
+def repoint_key(key: Column) -> Column:
+    """A key column_N/line_NNN moved to its region; other keys stay."""
+    number = F.nullif(F.regexp_extract(key, r"^column_(\d+)/line_\d+$", 1), F.lit("")).cast("int")
+    return F.when(number.isNotNull(), F.concat(region_of_column(number), F.regexp_extract(key, "(/line_[0-9]+)$", 1))).otherwise(key)
+
+
+def tag_pages(text: Column, human: list[str]) -> Column:
+    """Page tokens without a method get one: _human for pages of the given numbers, _auto for the others."""
+    end = r"(?!\d)(?!_(?:human|auto))"
+    out = F.regexp_replace(text, rf"(page_(?:{'|'.join(human)})){end}", "$1_human") if human else text
+    return F.regexp_replace(out, rf"(page_\d+){end}", "$1_auto")
 
 
 def strip_fences(c: Column) -> Column:

@@ -16,10 +16,36 @@ def corpus_rate(rows: DataFrame, keys: list[str], edits: str = "edits", length:
     return agg.withColumn("cer", F.try_divide(F.col("edits").cast("double"), F.col("ref_len").cast("double")))
 
 
+def length_bins(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """corpus_rate() of each group and length bin, with the mean of the lines' own rates; empty bins have no row."""
+    binned = rows.withColumn("length_bin", length_bin(F.col("ref_len")))
+    agg = binned.groupBy(*keys, "length_bin").agg(F.count("*").alias("n_lines"), F.round(F.avg("cer"), 9).alias("mean_cer"), F.sum("edits").cast("long").alias("edits"), F.sum("ref_len").cast("long").alias("ref_len"))
+    return agg.withColumn("cer", F.try_divide(F.col("edits").cast("double"), F.col("ref_len").cast("double")))
+
+
+def weighted_mean(pages: DataFrame, keys: list[str], value: str, weight: str) -> DataFrame:
+    """Mean of a page's value, weighed; null without weight. Pages whose value is null don't count."""
+    known = pages.filter(F.col(value).isNotNull())
+    return known.groupBy(*keys).agg(F.count("*").alias("n_pages"), F.try_divide(F.sum(F.col(value) * F.col(weight)), F.sum(weight).cast("double")).alias("weighted"))
+
+
+def group_means(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Size and mean of each group, from the highest mean down."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("n"), F.avg(value).alias("mean")).orderBy(F.desc("mean"), *keys)
+
+
+def high_ink(line_id: Column, ink: Column, median: Column, factor: float = 1.6, exempt: tuple[str, ...] = ("header",)) -> Column:
+    """Whether a line has more ink than factor times its page's median; types of region that are exempt never have."""
+    kind = F.regexp_extract(line_id, r"^region_[0-9]+_([a-z]+)/", 1)
+    return (median > 0) & (ink > factor * median) & ~kind.isin(*exempt)
+
+
 def confusion(rows: DataFrame, keys: list[str], truth: str = "truth", found: str = "found") -> DataFrame:
-    """Confusion counts with precision, recall and F1, null where undefined; a roll-up adds the micro-average."""
+    """Confusion counts with precision, recall and F1, null where undefined; a roll-up adds the micro-average.
+
+    level is 0 for a group and above for a roll-up, so that a null key isn't taken for one."""
     t, f = F.col(truth), F.col(found)
-    counts = rows.rollup(*keys).agg(*(F.count_if(c).alias(n) for n, c in (("tp", t & f), ("fp", ~t & f), ("fn", t & ~f), ("tn", ~t & ~f))))
+    counts = rows.rollup(*keys).agg(F.grouping_id().alias("level"), *(F.count_if(c).alias(n) for n, c in (("tp", t & f), ("fp", ~t & f), ("fn", t & ~f), ("tn", ~t & ~f))))
     d = lambda c: c.cast("double")
     p, r = F.try_divide(d(F.col("tp")), d(F.col("tp") + F.col("fp"))), F.try_divide(d(F.col("tp")), d(F.col("tp") + F.col("fn")))
     return counts.withColumn("precision", p).withColumn("recall", r).withColumn("f1", F.try_divide(d(2 * F.col("tp")), d(2 * F.col("tp") + F.col("fp") + F.col("fn"))))
@@ -79,6 +105,9 @@ def nested_split(rows: DataFrame, key: str, seed: str, holdout: int, sizes: list
     most = holdout + max(sizes)
     mark = F.md5(F.concat(F.col(key).cast("string"), F.lit(seed)))
     first = rows.select(key, mark.alias("mark")).orderBy("mark", key).limit(most)
+    found = first.count()
+    if found < most:
+        raise ValueError(f"{found} rows are too few for a holdout of {holdout} and a train set of {max(sizes)}")
     rank = first.withColumn("rank", F.row_number().over(Window.orderBy("mark", key)))
     part = F.when(F.col("rank") <= holdout, "test")
     for n in sorted(sizes):
@@ -86,11 +115,11 @@ def nested_split(rows: DataFrame, key: str, seed: str, holdout: int, sizes: list
     return rank.select(key, F.col("rank").cast("long").alias("rank"), part.alias("part"))
 
 
-def circuit_breaker(events: DataFrame, order: str, ok: str, fatal: str, failures: int = 3) -> DataFrame:
+def circuit_breaker(events: DataFrame, run: list[str], order: list[str], ok: str, fatal: str, failures: int = 3) -> DataFrame:
     """events with stopped: whether the run would have ended at or before each, by a fatal error or by failures without a success.
 
-    An event log of a run is small and ordered; its running sums take one task per run."""
-    w = Window.partitionBy("run_id").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    An event log of a run is small and ordered; its running sums take one task per run. order should have no ties."""
+    w = Window.partitionBy(*run).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     bad, good = F.sum(F.when(~F.col(ok), 1).otherwise(0)).over(w), F.sum(F.when(F.col(ok), 1).otherwise(0)).over(w)
     at = events.withColumn("_stop", ((bad >= failures) & (good == 0)) | F.col(fatal))
     return at.withColumn("stopped", F.max("_stop").over(w)).drop("_stop")
@@ -98,4 +127,88 @@ def circuit_breaker(events: DataFrame, order: str, ok: str, fatal: str, failures
 
 def pending(plan: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of the plan that aren't done."""
-    return plan.join(done.select(*keys).distinct(), keys, "left_anti")
+    return plan.join(done.select(*keys), keys, "left_anti")
+
+
+def line_status(rejected: Column, has_text: Column, text: Column) -> Column:
+    """rejected, pending without a text, labeled, or empty where the text is blank."""
+    return F.when(rejected, "rejected").when(~has_text, "pending").when(F.trim(text) != "", "labeled").otherwise("empty")
+
+
+def status_counts(rows: DataFrame, keys: list[str], status: str, names: list[str]) -> DataFrame:
+    """How many rows of each key have each of the named states, and all of them."""
+    return rows.groupBy(*keys).agg(*(F.count_if(F.col(status) == n).alias(n) for n in names), F.count("*").alias("total"))
+
+
+def with_default(rows: DataFrame, other: DataFrame, keys: list[str], value: str, default: Column) -> DataFrame:
+    """rows with the other's value by key, the default where it has none; rows that don't match stay."""
+    return rows.join(other.select(*keys, value), keys, "left").withColumn(value, F.coalesce(F.col(value), default))
+
+
+def by_hash(new: DataFrame, old: DataFrame, content: str, new_id: str, old_id: str) -> DataFrame:
+    """Each new row with the old row of equal content, found by its SHA-1; the first of equal old ones, null without one."""
+    first = old.groupBy(F.sha1(content).alias("_hash")).agg(F.min(old_id).alias(old_id))
+    keyed = new.withColumn("_hash", F.sha1(content))
+    return keyed.join(first, "_hash", "left").select(new_id, old_id)
+
+
+def renumbered(rows: DataFrame, keys: list[str], order: list[Column], name: str = "new_no") -> DataFrame:
+    """Rows numbered from 1 in reading order within each key."""
+    return rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+
+
+def even_picks(n: int, share: float) -> list[int]:
+    """Places spread evenly over n, at least one and never all; none of one or fewer."""
+    if n <= 1:
+        return []
+    most = min(max(1, round(n * share)), n - 1)
+    return sorted({int((k + 0.5) * n / most) for k in range(most)})
+
+
+def even_holdout(pages: DataFrame, key: str, share: float = 0.2) -> DataFrame:
+    """(key, place, part): pages in order, those at even distances are 'test', the others 'train'.
+
+    A page is in the test part if some k has its place: that is a bound on k for each page, no list of picks."""
+    n = pages.count()
+    most = min(max(1, round(n * share)), n - 1) if n > 1 else 0
+    placed = pages.select(key).withColumn("place", F.row_number().over(Window.orderBy(key)) - 1)
+    k = F.ceil(F.col("place") * F.lit(most / n if n else 0.0) - 0.5)
+    near = F.array(*(F.greatest(k + d, F.lit(0)) for d in (-1, 0, 1)))
+    hit = F.exists(near, lambda x: (x < most) & (F.floor((x + 0.5) * F.lit(float(n)) / F.lit(float(max(most, 1)))) == F.col("place")))
+    return placed.withColumn("part", F.when(hit, "test").otherwise("train"))
+
+
+def split_label(rows: DataFrame, keys: list[str], child: str, label: str) -> DataFrame:
+    """(keys, child, part, outcome): a label's lines go to the children of a run one by one if there are as many of both.
+
+    Blank labels mark every child; where the numbers differ the children are to be labeled again, without a part."""
+    own = Window.partitionBy(*keys)
+    parts = F.split(F.regexp_replace(label, r"\n+$", ""), "\n")
+    n, at = F.count("*").over(own), F.row_number().over(own.orderBy(child))
+    out = rows.withColumn("_parts", parts).withColumn("_n", n).withColumn("_at", at)
+    outcome = F.when(F.trim(F.regexp_replace(label, r"\s+", " ")) == "", "marker").when(F.size("_parts") == F.col("_n"), "autosplit").otherwise("relabel")
+    out = out.withColumn("outcome", outcome)
+    return out.select(*keys, child, F.when(F.col("outcome") == "autosplit", F.get("_parts", F.col("_at") - 1)).when(F.col("outcome") == "marker", F.col(label)).alias("part"), "outcome")
+
+
+def contained_pieces(new: DataFrame, old: DataFrame, key: str, width: int) -> DataFrame:
+    """(key, o_id, n_pieces): new intervals (n_start, n_end) within each old one (o_start, o_end), its end plus one included.
+
+    Both meet by buckets of width that an old interval covers and a new one starts in, not by key alone."""
+    at = old.withColumn("_b", F.explode(F.sequence(F.floor(F.col("o_start") / width), F.floor((F.col("o_end") + 1) / width))))
+    own = new.withColumn("_b", F.floor(F.col("n_start") / width)).select(F.col(key).alias("_k"), "_b", "n_start", "n_end")
+    inside = at.join(own, (at[key] == own["_k"]) & (at["_b"] == own["_b"]) & (F.col("n_start") >= F.col("o_start")) & (F.col("n_end") <= F.col("o_end") + 1))
+    return inside.groupBy(at[key], "o_id").agg(F.count("*").alias("n_pieces"))
+
+
+def verdict(rate: Column) -> Column:
+    """PASS below 0.15, PARTIAL below 0.40, else FAIL; null without a rate."""
+    return F.when(rate < 0.15, "PASS").when(rate < 0.40, "PARTIAL").when(rate.isNotNull(), "FAIL")
+
+
+def is_glyph(width: Column, height: Column, area: Column, col_width: Column, col_height: Column, least_height: int = 40, fill: tuple[float, float] = (0.15, 0.85)) -> Column:
+    """Whether a connected component may be one letter: no speck, no line, not half as wide as its column; one that is more than
+    half as high must be large and filled like a letter."""
+    shape = (area >= 20) & (width <= 8 * height) & (height <= 8 * width) & (width <= 0.5 * col_width)
+    extent = F.when((width > 0) & (height > 0), area / (width * height)).otherwise(1.0)
+    return shape & ((height <= 0.5 * col_height) | ((height >= least_height) & extent.between(*fill)))

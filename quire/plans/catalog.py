@@ -2,96 +2,99 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.functions.edit_ops import edit_counts
 from quire.operators import core
+from quire.plans.registry import ORACLE, QUERIES, query
 from quire.sources.tables import lines, table
 from quire.streaming.jobs import latest_state
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return add
-
+__all__ = ["ORACLE", "QUERIES"]
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines(table(spark, folder, "documents"))
 
 
-# A reference is a line's first 64 ASCII characters, the longest that a recognizer gives; the hypothesis swaps vowels.
 LINES = "SELECT doc_id, source, lang, t.i AS line_no, t.text FROM (SELECT doc_id, source, lang, unnest(list_transform(string_split(text, chr(10)), lambda x, i: {'i': i, 'text': x})) AS t FROM documents)"
-PAIRS = f"SELECT *, levenshtein(ref, hyp) AS edits, length(ref) AS ref_len FROM (SELECT *, replace(translate(ref, 'aeo', 'eoa'), 'th', 't') AS hyp FROM (SELECT doc_id, source, lang, line_no, trim(left(regexp_replace(text, '[^ -~]', '', 'g'), 64)) AS ref FROM ({LINES}))) WHERE ref <> ''"
+# A reference is a whole turn of a conversation, stripped; the hypothesis swaps vowels and loses a letter.
+PAIRS = "SELECT *, levenshtein(ref, hyp) AS edits, length(ref) AS ref_len, levenshtein(ref, hyp)::DOUBLE / length(ref)::DOUBLE AS cer FROM (SELECT *, replace(translate(ref, 'aeo', 'eoa'), 'th', 't') AS hyp FROM (SELECT conv_id, turn, role, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS ref FROM conversations)) WHERE ref <> ''"
 
 
-def _pairs(spark: SparkSession, folder: str, whole: bool = False) -> DataFrame:
-    """The pairs of the SQL twins, whose references are cut; with whole, those of whole lines."""
-    text = F.regexp_replace("text", "[^ -~]", "")
-    ref = F.trim(text if whole else F.left(text, F.lit(64)))
-    refs = _lines(spark, folder).select("doc_id", "source", "lang", "line_no", ref.alias("ref")).filter("ref <> ''")
+def _pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """(conv_id, turn, role, ref, hyp, edits, ref_len, cer): lines with a reference; FLT-02 drops empty ones."""
+    ref = T.collapse_ws(F.col("text"))
+    refs = table(spark, folder, "conversations").select("conv_id", "turn", "role", ref.alias("ref")).filter("ref <> ''")
     hyp = F.replace(F.translate("ref", "aeo", "eoa"), F.lit("th"), F.lit("t"))
-    scored = refs.withColumn("hyp", hyp)
-    return scored.withColumn("edits", T.edits(F.col("ref"), F.col("hyp"))).withColumn("ref_len", F.length("ref"))
+    scored = refs.withColumn("hyp", hyp).withColumn("edits", T.edits(F.col("ref"), F.col("hyp"))).withColumn("ref_len", F.length("ref"))
+    return scored.withColumn("cer", F.col("edits").cast("double") / F.col("ref_len").cast("double"))
+
 
+BIN = "CASE WHEN ref_len <= 10 THEN '0-10' WHEN ref_len <= 20 THEN '11-20' WHEN ref_len <= 30 THEN '21-30' ELSE '31+' END"
 
-@query(f"SELECT source, CASE WHEN ref_len <= 10 THEN '0-10' WHEN ref_len <= 20 THEN '11-20' WHEN ref_len <= 30 THEN '21-30' ELSE '31+' END AS length_bin, count(*) AS n_lines, sum(edits)::BIGINT AS edits, sum(ref_len)::BIGINT AS ref_len, sum(edits)::DOUBLE / sum(ref_len)::DOUBLE AS cer FROM ({PAIRS}) GROUP BY ALL")
+
+@query(f"SELECT role, {BIN} AS length_bin, count(*) AS n_lines, round(avg(cer), 9) AS mean_cer, sum(edits)::BIGINT AS edits, sum(ref_len)::BIGINT AS ref_len, sum(edits)::DOUBLE / sum(ref_len)::DOUBLE AS cer FROM ({PAIRS}) GROUP BY ALL")
 def error_analysis(spark, folder):
-    """QRY-01, AGG-01, AGG-05: corpus error rate by source and length."""
-    return core.corpus_rate(_pairs(spark, folder).withColumn("length_bin", core.length_bin(F.col("ref_len"))), ["source", "length_bin"])
+    """QRY-01, AGG-01, AGG-05: by role and length, the mean of the lines' error rates and the rate of all their characters."""
+    return core.length_bins(_pairs(spark, folder), ["role"])
 
 
-@query(f"SELECT doc_id, line_no, ref, hyp, edits::BIGINT AS edits, edits::DOUBLE / ref_len::DOUBLE AS cer FROM ({PAIRS}) ORDER BY cer DESC, doc_id, line_no LIMIT 25")
+@query(f"SELECT conv_id, turn, ref, hyp, edits::BIGINT AS edits, cer FROM ({PAIRS}) ORDER BY cer DESC, conv_id, turn LIMIT 25")
 def worst_lines(spark, folder):
     """TOP-01, SRT-01: the 25 worst lines."""
-    rows = _pairs(spark, folder).select("doc_id", "line_no", "ref", "hyp", F.col("edits").cast("long"), T.cer(F.col("ref"), F.col("hyp")).alias("cer"))
-    return rows.orderBy(F.desc("cer"), "doc_id", "line_no").limit(25)
+    rows = _pairs(spark, folder).select("conv_id", "turn", "ref", "hyp", F.col("edits").cast("long"), "cer")
+    return rows.orderBy(F.desc("cer"), "conv_id", "turn").limit(25)
 
 
-@query(f"SELECT doc_id, count(*) AS n_lines, sum(edits)::BIGINT AS edits, sum(ref_len)::BIGINT AS ref_len, sum(edits)::DOUBLE / sum(ref_len)::DOUBLE AS cer FROM ({PAIRS}) GROUP BY doc_id")
+@query(f"SELECT conv_id, count(*) AS n_lines, sum(edits)::BIGINT AS edits, sum(ref_len)::BIGINT AS ref_len, sum(edits)::DOUBLE / sum(ref_len)::DOUBLE AS cer FROM ({PAIRS}) GROUP BY conv_id")
 def page_scores(spark, folder):
     """AGG-02: error rate of each page."""
-    return core.corpus_rate(_pairs(spark, folder), ["doc_id"])
+    return core.corpus_rate(_pairs(spark, folder), ["conv_id"])
 
 
-@query(f"SELECT lang, count(*) AS n_pages, sum(edits)::DOUBLE / sum(n)::DOUBLE AS weighted FROM (SELECT lang, doc_id, sum(edits) AS edits, count(*) AS n FROM ({PAIRS}) GROUP BY ALL) GROUP BY lang")
+@query(f"SELECT conv_id % 5 AS run, count(*) AS n_pages, round(sum(cer * n) / sum(n), 9) AS weighted FROM (SELECT conv_id, sum(edits)::DOUBLE / sum(ref_len)::DOUBLE AS cer, count(*) AS n FROM ({PAIRS}) GROUP BY conv_id) GROUP BY ALL")
 def weighted_pages(spark, folder):
-    """AGG-03, AGG-24: edits per line, pages weighing their lines."""
-    pages = _pairs(spark, folder).groupBy("lang", "doc_id").agg(F.sum("edits").alias("edits"), F.count("*").alias("n"))
-    return pages.groupBy("lang").agg(F.count("*").alias("n_pages"), (F.sum("edits").cast("double") / F.sum("n").cast("double")).alias("weighted"))
+    """AGG-03: mean of the pages' error rates, weighed by their lines."""
+    pages = core.corpus_rate(_pairs(spark, folder), ["conv_id"]).withColumn("run", F.col("conv_id") % 5)
+    return core.weighted_mean(pages, ["run"], "cer", "n_lines").select("run", "n_pages", F.round("weighted", 9).alias("weighted"))
+
+
+@query(f"SELECT role AS model, CASE WHEN turn < 2 THEN 0 ELSE 5 END AS shot, count(*) AS n_lines, sum(edits)::BIGINT AS edits, sum(ref_len)::BIGINT AS ref_len, sum(edits)::DOUBLE / sum(ref_len)::DOUBLE AS cer FROM ({PAIRS}) GROUP BY ALL")
+def variant_scores(spark, folder):
+    """AGG-24, QRY-17, SMP-06: the corpus error rate of each (model, shot)."""
+    shot = F.when(F.col("turn") < 2, 0).otherwise(5)
+    return core.corpus_rate(_pairs(spark, folder).select(F.col("role").alias("model"), shot.alias("shot"), "edits", "ref_len"), ["model", "shot"])
 
 
 @query()
 def edit_breakdown(spark, folder):
     """STR-02: substitutions, deletions and insertions of every whole line; checked against the edit distance in tests."""
-    rows = _pairs(spark, folder, whole=True).withColumn("e", edit_counts("ref", "hyp"))
-    return rows.select("doc_id", "line_no", "edits", "e.n_sub", "e.n_del", "e.n_ins")
+    rows = _pairs(spark, folder).withColumn("e", edit_counts("ref", "hyp"))
+    return rows.select("conv_id", "turn", "edits", "e.n_sub", "e.n_del", "e.n_ins")
+
 
+NUMERAL, MARKS = r"[0-9\u0531-\u0556\u0561-\u0586]{1,3}\.", r"[\u0589\u055F\u00B7\u055E\u055B\u055A\u055D]"
+FLAGS = "SELECT unnest([CASE WHEN regexp_matches(text, '[0-9Ա-Ֆա-ֆ]{1,3}\\.') THEN 'numeral' ELSE 'no_numeral' END, CASE WHEN regexp_matches(text, '[։՟·՞՛՚՝]') THEN 'mark' ELSE 'no_mark' END]) AS flag"
 
-@query(f"SELECT flag, count(*) AS n_lines FROM (SELECT unnest([CASE WHEN regexp_matches(text, '[0-9]') THEN 'numeral' ELSE 'no_numeral' END, CASE WHEN regexp_matches(text, '[.,;:]') THEN 'mark' ELSE 'no_mark' END]) AS flag FROM ({LINES})) GROUP BY flag")
+
+@query(f"SELECT flag, count(*) AS n_lines FROM ({FLAGS} FROM ({LINES})) GROUP BY flag")
 def flag_groups(spark, folder):
     """AGG-06, STR-05, STR-06: overlapping groups, each line counted in two."""
     t = F.col("text")
-    flags = F.array(F.when(t.rlike("[0-9]"), "numeral").otherwise("no_numeral"), F.when(t.rlike("[.,;:]"), "mark").otherwise("no_mark"))
+    flags = F.array(F.when(t.rlike(NUMERAL), "numeral").otherwise("no_numeral"), F.when(t.rlike(MARKS), "mark").otherwise("no_mark"))
     return _lines(spark, folder).select(F.explode(flags).alias("flag")).groupBy("flag").agg(F.count("*").alias("n_lines"))
 
 
-@query(f"SELECT doc_id, count(*) AS n_lines, count(*) FILTER (trim(text) = '') AS n_empty, count(DISTINCT text) AS n_distinct FROM ({LINES}) GROUP BY doc_id")
+FRACTION = "CASE WHEN length(regexp_replace(text, '\\P{L}', '', 'g')) > 0 THEN length(regexp_replace(text, '[^а-яА-Яa-m]', '', 'g'))::DOUBLE / length(regexp_replace(text, '\\P{L}', '', 'g')) ELSE 0 END"
+
+
+@query(f"SELECT doc_id, count(*) AS n_lines, count(*) FILTER (trim(text) = '') AS n_empty, count(DISTINCT text) AS n_distinct, round(avg({FRACTION}), 9) AS mean_fraction FROM ({LINES}) GROUP BY doc_id")
 def degeneracy(spark, folder):
-    """AGG-07, AGG-18: lines, empty lines and different lines of each page."""
-    return _lines(spark, folder).groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(F.trim("text") == "").alias("n_empty"), F.count_distinct("text").alias("n_distinct"))
+    """AGG-07, AGG-18, STR-04: lines, empty and different lines of each page, and the mean share of one script's letters."""
+    share = F.avg(T.script_fraction(F.col("text"), "а-яА-Яa-m"))
+    return _lines(spark, folder).groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(F.trim("text") == "").alias("n_empty"), F.count_distinct("text").alias("n_distinct"), F.round(share, 9).alias("mean_fraction"))
 
 
 DETECTED = "SELECT d.source, l.quality = 0 AS truth, length(regexp_replace(d.text, '[^#*$%&|<>!]', '', 'g')) > 20 AS found FROM documents d JOIN labels l USING (doc_id) WHERE d.text IS NOT NULL"
@@ -102,10 +105,11 @@ def detector_gate(spark, folder):
     """QRY-03, AGG-09, AGG-10, AGG-11: a symbol detector against labels, with the micro-average."""
     found = table(spark, folder, "documents").filter("text IS NOT NULL").join(table(spark, folder, "labels"), "doc_id")
     rows = found.select("source", (F.col("quality") == 0).alias("truth"), (F.length(F.regexp_replace("text", "[^#*$%&|<>!]", "")) > 20).alias("found"))
-    return core.confusion(rows, ["source"])
+    return core.confusion(rows, ["source"]).drop("level")
 
 
 INK = f"SELECT doc_id, line_no, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS glyphs, length(text) AS ink FROM ({LINES})"
+HIGH = "(ratio > 1.6 AND line_no > 1)"  # a page's first line is its header, which is exempt
 RATIO = f"SELECT *, CASE WHEN m > 0 THEN ink / m ELSE 0.0 END AS ratio FROM (SELECT *, median(ink) OVER (PARTITION BY doc_id) AS m FROM ({INK}))"
 
 
@@ -114,19 +118,25 @@ def _features(spark: SparkSession, folder: str) -> DataFrame:
     return core.page_ratio(rows, "doc_id", "ink")
 
 
-@query(f"SELECT doc_id, line_no::INTEGER AS line_no, ratio::DOUBLE AS ratio, concat_ws('+', CASE WHEN glyphs = 0 THEN 'no_glyphs' END, CASE WHEN ratio > 1.6 THEN 'high_ink' END) AS reason FROM ({RATIO}) WHERE glyphs = 0 OR ratio > 1.6")
+def _high(ratio):
+    """A page's first line is its header."""
+    region = F.when(F.col("line_no") == 1, T.region_name(F.lit(1), F.lit("header"))).otherwise(T.region_name(F.lit(2), F.lit("left")))
+    return core.high_ink(T.line_id(region, F.col("line_no")), ratio, F.lit(1.0))
+
+
+@query(f"SELECT doc_id, line_no::INTEGER AS line_no, ratio::DOUBLE AS ratio, concat_ws('+', CASE WHEN glyphs = 0 THEN 'no_glyphs' END, CASE WHEN {HIGH} THEN 'high_ink' END) AS reason FROM ({RATIO}) WHERE glyphs = 0 OR {HIGH}")
 def flagged_lines(spark, folder):
     """QRY-04, WIN-01, FLT-08 to FLT-10: lines that aren't text, by page-relative ink, with reasons."""
-    none, high = F.col("glyphs") == 0, F.col("ratio") > 1.6
+    none, high = F.col("glyphs") == 0, _high(F.col("ratio"))
     reason = F.concat_ws("+", F.when(none, "no_glyphs"), F.when(high, "high_ink"))
     return _features(spark, folder).filter(none | high).select("doc_id", "line_no", "ratio", reason.alias("reason"))
 
 
-@query(f"SELECT doc_id, line_no::INTEGER AS line_no, ink, rank::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ink DESC, line_no) AS rank FROM ({RATIO}) WHERE NOT (glyphs = 0 OR ratio > 1.6)) WHERE rank <= 5")
+@query(f"SELECT doc_id, line_no::INTEGER AS line_no, ink, rank::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ink DESC, line_no) AS rank FROM ({RATIO}) WHERE NOT (glyphs = 0 OR {HIGH})) WHERE rank <= 5")
 def borderline_lines(spark, folder):
     """TOP-02: the five highest of each page that aren't flagged."""
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("ink"), "line_no"))
-    rows = _features(spark, folder).filter("NOT (glyphs = 0 OR ratio > 1.6)").withColumn("rank", rank)
+    rows = _features(spark, folder).filter(~((F.col("glyphs") == 0) | _high(F.col("ratio")))).withColumn("rank", rank)
     return rows.filter("rank <= 5").select("doc_id", "line_no", "ink", "rank")
 
 
@@ -187,13 +197,14 @@ BREAK = "SELECT user_id AS run_id, event_id, value >= 0 AND event_id % 3 > 0 AS
 def stop_points(spark, folder):
     """STM-05: where the circuit breaker would have ended each run."""
     rows = table(spark, folder, "events").select(F.col("user_id").alias("run_id"), "event_id", F.expr("value >= 0 AND event_id % 3 > 0").alias("ok"), F.expr("event_id % 97 = 0").alias("fatal"))
-    return core.circuit_breaker(rows, "event_id", "ok", "fatal").select("run_id", "event_id", "stopped")
+    return core.circuit_breaker(rows, ["run_id"], ["event_id"], "ok", "fatal").select("run_id", "event_id", "stopped")
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')")
 def pending_work(spark, folder):
     """JN-09, STM-06: planned keys without a result."""
-    return core.pending(table(spark, folder, "customer").select("c_custkey"), table(spark, folder, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    done = table(spark, folder, "orders").filter("o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
+    return core.pending(table(spark, folder, "customer").select("c_custkey"), done, ["c_custkey"])
 
 
 @query("SELECT n_name, r_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL")
@@ -224,9 +235,7 @@ SLUG = "concat_ws('__', source, lang, 'v1')"
 @query(f"SELECT doc_id, {SLUG} AS slug, 'page_' || CASE WHEN doc_id < 10000 THEN lpad(doc_id::VARCHAR, 4, '0') ELSE doc_id::VARCHAR END AS page_id, (len(string_split(coalesce(text, ''), 'th')) - 1)::INTEGER AS n_th, left(text, 200) AS head FROM documents")
 def page_keys(spark, folder):
     """STR-08, STR-13, STR-16, STR-24: identifiers, slugs, counts and cut messages."""
-    number = F.col("doc_id").cast("string")
-    name = F.concat(F.lit("page_"), F.when(F.col("doc_id") < 10000, F.lpad(number, 4, "0")).otherwise(number))
-    return table(spark, folder, "documents").select("doc_id", F.concat_ws("__", "source", "lang", F.lit("v1")).alias("slug"), name.alias("page_id"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit("th")).alias("n_th"), F.left("text", F.lit(200)).alias("head"))
+    return table(spark, folder, "documents").select("doc_id", F.concat_ws("__", "source", "lang", F.lit("v1")).alias("slug"), T.page_id(F.col("doc_id")).alias("page_id"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit("th")).alias("n_th"), F.left("text", F.lit(200)).alias("head"))
 
 
 @query()

@@ -4,6 +4,7 @@ import glob
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from quire.plans import catalog
@@ -13,7 +14,7 @@ DATA = "/root/testdata/sf0.001"
 
 def plain(frame):
     def value(x):
-        if x is None or x != x:
+        if x is None or x is pd.NA or x != x:
             return None
         if isinstance(x, float):
             return round(x, 9)

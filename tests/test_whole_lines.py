@@ -39,9 +39,8 @@ def test_counts_of_long_texts(n):
 def test_breakdown_of_whole_lines(spark, tmp_path):
     pick = random.Random(1)
     lines = [" ".join(pick.choice(["the", "oat", "hut", "dry"]) for _ in range(n)) for n in (5, 40, 200)]
-    docs = spark.createDataFrame([(1, "\n".join(lines), "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
-    docs.write.parquet(f"{tmp_path}/documents.parquet")
-    rows = {r.line_no: r for r in catalog.QUERIES["edit_breakdown"](spark, str(tmp_path)).collect()}
-    found = sorted((r.n_sub, r.n_del, r.n_ins, r.edits) for r in rows.values())
+    spark.createDataFrame([(1, i, "user", t) for i, t in enumerate(lines)], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    rows = catalog.QUERIES["edit_breakdown"](spark, str(tmp_path)).collect()
+    found = sorted((r.n_sub, r.n_del, r.n_ins, r.edits) for r in rows)
     wanted = [plain(x, x.translate(str.maketrans("aeo", "eoa")).replace("th", "t")) for x in lines]
     assert found == sorted((*w, sum(w)) for w in wanted)
