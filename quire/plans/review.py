@@ -78,12 +78,12 @@ def review_order(spark, folder):
     return joined.withColumn("rank", F.row_number().over(w.orderBy(F.desc_nulls_last("rate"), "line"))).withColumn("mean_rate", F.round(F.avg("rate").over(w), 9))
 
 
-@query(f"SELECT l.page, l.line, coalesce(d.found, false) AS detected, t.truth FROM ({LINES}) l LEFT JOIN (SELECT page, line, true AS found FROM ({LINES}) WHERE l_quantity > 40) d USING (page, line) LEFT JOIN (SELECT page, line, (l_discount > 0.05)::INTEGER AS truth FROM ({LINES}) WHERE l_linestatus = 'F') t USING (page, line)")
+@query(f"SELECT l.page, l.line, coalesce(d.found, false) AS detected, t.truth FROM ({LINES}) l LEFT JOIN (SELECT page, line, true AS found FROM ({LINES}) WHERE l_quantity > 40) d USING (page, line) LEFT JOIN (SELECT page, line, CASE WHEN l_discount > 0.05 THEN 'non_character' ELSE 'text' END AS truth FROM ({LINES}) WHERE l_linestatus = 'F') t USING (page, line)")
 def line_verdicts(spark, folder):
     """JN-06, JN-07: lines with what a detector found, false without a finding, and with a person's verdict, if any."""
     rows = _lines(spark, folder)
     found = rows.filter("l_quantity > 40").select("page", "line", F.lit(True).alias("detected"))
-    truth = rows.filter("l_linestatus = 'F'").select("page", "line", (F.col("l_discount") > 0.05).cast("int").alias("truth"))
+    truth = rows.filter("l_linestatus = 'F'").select("page", "line", F.when(F.col("l_discount") > 0.05, "non_character").otherwise("text").alias("truth"))
     return core.with_default(rows.select("page", "line"), found, ["page", "line"], "detected", F.lit(False)).join(truth, ["page", "line"], "left")
 
 
@@ -106,13 +106,13 @@ def complete_pairs(spark, folder):
     return table(spark, folder, "orders").select("o_orderkey").join(has("l_returnflag = 'R'"), "o_orderkey", "left_semi").join(has("l_quantity > 45"), "o_orderkey", "left_semi")
 
 
-@query("SELECT n.p_partkey AS new_id, o.old_id FROM part n LEFT JOIN (SELECT p_type || p_size AS c, min(p_partkey) AS old_id FROM part WHERE p_partkey % 2 = 1 GROUP BY ALL) o ON n.p_type || n.p_size = o.c WHERE n.p_partkey % 2 = 0")
+@query("SELECT n.p_partkey AS new_id, coalesce(o.old_id, -1) AS old_id FROM part n LEFT JOIN (SELECT p_type || p_size AS c, min(p_partkey) AS old_id FROM part WHERE p_partkey % 2 = 1 GROUP BY ALL) o ON n.p_type || n.p_size = o.c WHERE n.p_partkey % 2 = 0")
 def same_crops(spark, folder):
-    """JN-13, IMG-19: new crops with the old one of equal content, the first of equals."""
+    """JN-13, IMG-19: new crops with the old one of equal content, the first of equals; -1 without one."""
     parts = table(spark, folder, "part").withColumn("content", F.concat(F.col("p_type"), F.col("p_size").cast("string")))
     new = parts.filter("p_partkey % 2 = 0").select(F.col("p_partkey").alias("new_id"), "content")
     old = parts.filter("p_partkey % 2 = 1").select(F.col("p_partkey").alias("old_id"), "content")
-    return core.by_hash(new, old, "content", "new_id", "old_id")
+    return core.by_hash(new, old, "content", "new_id", "old_id").fillna(-1, ["old_id"])
 
 
 @query("SELECT user_id, o.event_id AS o_id, count(*) AS n_pieces FROM (SELECT user_id, event_id, event_id % 1000 AS o_start, event_id % 1000 + 40 AS o_end FROM events WHERE event_type = 'view') o JOIN (SELECT user_id, event_id % 1000 AS n_start, event_id % 1000 + 5 AS n_end FROM events WHERE event_type = 'click') n USING (user_id) WHERE n_start >= o_start AND n_end <= o_end + 1 GROUP BY ALL")
@@ -166,14 +166,14 @@ def labeled_pages(spark, folder):
     return core.by_priority(named, ["base"], [F.desc("root"), F.asc("path")]).select("base", "path")
 
 
-@query(f"SELECT 'no_reference' AS section, page, NULL::INTEGER AS line, count(*) AS n FROM ({LINES}) GROUP BY page HAVING count(*) FILTER (l_linestatus = 'F') = 0 UNION ALL SELECT 'non_character', page, line, NULL FROM ({LINES}) WHERE l_quantity > 49 UNION ALL SELECT 'failed', page, NULL, NULL FROM (SELECT DISTINCT page FROM ({LINES}) WHERE l_tax = 0 AND l_discount = 0)")
+@query(f"SELECT 'no_reference' AS section, page, 0 AS line, count(*) AS n FROM ({LINES}) GROUP BY page HAVING count(*) FILTER (l_linestatus = 'F') = 0 UNION ALL SELECT 'non_character', page, line, 0 FROM ({LINES}) WHERE l_quantity > 49 UNION ALL SELECT 'failed', page, 0, 0 FROM (SELECT DISTINCT page FROM ({LINES}) WHERE l_tax = 0 AND l_discount = 0)")
 def worklist(spark, folder):
-    """SET-04, SNK-06: three kinds of work for a person, in one table."""
+    """SET-04, SNK-06: three kinds of work for a person, in one table; 0 where a section has no line or number."""
     rows = _lines(spark, folder)
     tagged = lambda df, name: df.withColumn("section", F.lit(name))
     blank = rows.groupBy("page").agg(F.count("*").alias("n"), F.count_if(F.col("l_linestatus") == "F").alias("f")).filter("f = 0").drop("f")
     marks, failed = rows.filter("l_quantity > 49").select("page", "line"), rows.filter("l_tax = 0 AND l_discount = 0").select("page").distinct()
-    return tagged(blank, "no_reference").unionByName(tagged(marks, "non_character"), True).unionByName(tagged(failed, "failed"), True)
+    return tagged(blank, "no_reference").unionByName(tagged(marks, "non_character"), True).unionByName(tagged(failed, "failed"), True).fillna(0, ["line", "n"])
 
 
 @query(f"SELECT page, line, found AS flagged, wanted AS expected FROM (SELECT page, line, l_quantity > 45 AS found, l_discount > 0.08 AS wanted FROM ({LINES})) WHERE found <> wanted")
@@ -229,11 +229,11 @@ def label_split(spark, folder):
     return core.split_label(_lines(spark, folder).withColumn("label", label), ["page"], "line", "label")
 
 
-@query("WITH s AS (SELECT CASE WHEN l_orderkey % 4 = 0 THEN 'marker' WHEN count(*) = 1 + l_orderkey % 3 THEN 'autosplit' ELSE 'relabel' END AS outcome, l_orderkey % 10 AS grp, count(*) AS n FROM lineitem GROUP BY l_orderkey) SELECT grp, outcome, sum(n)::BIGINT AS n_lines FROM s GROUP BY ROLLUP (outcome, grp)")
+@query("WITH s AS (SELECT CASE WHEN l_orderkey % 4 = 0 THEN 'marker' WHEN count(*) = 1 + l_orderkey % 3 THEN 'autosplit' ELSE 'relabel' END AS outcome, l_orderkey % 10 AS grp, count(*) AS n FROM lineitem GROUP BY l_orderkey) SELECT coalesce(grp, -1) AS grp, coalesce(outcome, 'total') AS outcome, sum(n)::BIGINT AS n_lines FROM s GROUP BY ROLLUP (outcome, grp)")
 def reslice_tally(spark, folder):
-    """AGG-16: outcomes of a re-slicing by group, and in all."""
+    """AGG-16: outcomes of a re-slicing by group, and in all (group -1)."""
     rows = label_split(spark, folder).withColumn("grp", F.col("page") % 10)
-    return rows.rollup("outcome", "grp").agg(F.count("*").alias("n_lines")).select("grp", "outcome", "n_lines")
+    return rows.rollup("outcome", "grp").agg(F.count("*").alias("n_lines")).select(F.coalesce("grp", F.lit(-1)).alias("grp"), F.coalesce("outcome", F.lit("total")).alias("outcome"), "n_lines")
 
 
 @query(f"SELECT page, line, row_number() OVER (PARTITION BY page ORDER BY substr(region, 8, 2)::INT, line) AS new_no FROM ({LINES})")
