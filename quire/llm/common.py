@@ -27,9 +27,12 @@ def small_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> No
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); one of our own where unset."""
+    """The folder that driver and executors share (spark.checkpoint.dir). Where it's unset, one of our own will do in local mode
+    only: on a cluster no folder of this machine is shared."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="quire-")
         spark.conf.set("spark.checkpoint.dir", found)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():

@@ -23,17 +23,20 @@ from .common import cut, small_batches
 #: Attempts that are kept in each worker's memory; more of them travel with their documents.
 HELD_ATTEMPTS = 50_000
 MOST_ATTEMPTS = 60
+#: Attempts from which a surrogate keeps less of its entity's format, as the pool of that format seems to be full.
+LOOSE = 20
 
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}\b")
-LOCAL = re.compile(r"[\w.%+-]+\Z")
+LOCAL = re.compile(r"[\w.%+-]")
 NUMBERS = re.compile(
     r"(?<![\w.])(?:(?P<ipv4>(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3})(?![\w]|\.\d)"
     r"|(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
-    r"|(?P<card>\d{4}([ -]?)\d{4}\4\d{4}\4\d{1,7})(?![\w-])"
+    r"|(?P<card>\d{4}([ -]?)\d{4}\4\d{4}\4\d{1,7}|3\d{3}([ -]?)\d{6}\5\d{5})(?![\w-])"
     r"|(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?)(?!\w)"
     r"|(?P<phone>(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}|\d{3}[ .-]\d{3}[ .-]\d{4})(?![\w-]))"
 )
-PLUS = re.compile(r"(?<!\w)\+")
+# Eight groups of hexadecimal digits, or fewer around one "::"; what ipaddress can't read is no address.
+IPV6 = re.compile(r"(?<![\w:.])(?=[0-9A-Fa-f:]*:[0-9A-Fa-f:]*:)[0-9A-Fa-f:]{3,39}(?![\w:]|\.\d)")
 SECRET = re.compile(r"(?<![\w])(?=[0-9a-fA-F]*[a-fA-F])(?=[0-9a-fA-F]*\d)[0-9a-fA-F]{32,64}(?!\w)")
 # Titles by gender, with the names behind them; a title's gender is that of the person.
 TITLES = {
@@ -41,7 +44,8 @@ TITLES = {
     "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Signora", "госпожа"],
 }
 GENDER = {t: g for g, titles in TITLES.items() for t in titles}
-PERSON = re.compile(r"\b(" + "|".join(sorted(GENDER, key=len, reverse=True)) + r")\.?[ ]([^\W\d_a-zа-я][^\W\d_]+(?:-[^\W\d_]+)?)(?:[ ]([^\W\d_a-zа-я][^\W\d_]+(?:-[^\W\d_]+)?))?")
+NAME = r"[^\W\d_a-zа-я](?:[^\W\d_]|['’](?=[^\W\d_]))+(?:-[^\W\d_]+)?"
+PERSON = re.compile(r"\b(" + "|".join(sorted(GENDER, key=len, reverse=True)) + r")\.?[ ](?:[^\W\d_a-zа-я]\.[ ]?)*(" + NAME + r")(?:[ ](?:[^\W\d_a-zа-я]\.[ ]?)*(" + NAME + r"))?")
 SYLLABLES = {
     "latin": (list("bdfgklmnprstv"), list("aeiou"), {"m": "n", "f": "a", "": "r"}),
     "cyrillic": (list("бвгдзклмнпрст"), list("аеиоу"), {"m": "н", "f": "а", "": "в"}),
@@ -54,25 +58,46 @@ def script(word: str) -> str:
     return "cyrillic" if 0x400 <= c < 0x530 else "greek" if 0x370 <= c < 0x400 else "latin"
 
 
+def people(text: str) -> list[tuple[int, int, str, str]]:
+    """(start, end, kind, form) of the names behind a title, and of every other mention of these names in the text.
+
+    Behind a title come a given and a family name, or the latter alone, with initials between; the title's gender is
+    that of the given name, and of a family name in a script whose family names have one."""
+    found, kinds = [], {}
+    for m in PERSON.finditer(text):
+        gender, names = GENDER[m[1]], [i for i in (2, 3) if m[i] and m[i][0].isupper()]
+        for i in names:
+            given, alphabet = i == 2 and len(names) == 2, script(m[i])
+            kind = f"name.given.{gender}.{alphabet}" if given else f"name.family.{gender}.{alphabet}" if alphabet == "cyrillic" else f"name.family.{alphabet}"
+            kind = kinds.setdefault(m[i], kind)
+            found.append((m.start(i), m.end(i), kind, m[i].lower()))
+    if kinds:
+        again = re.compile(r"(?<![\w'’-])(?:" + "|".join(map(re.escape, sorted(kinds, key=len, reverse=True))) + r")(?![\w-]|['’]\w{2})")
+        found += [(m.start(), m.end(), kinds[m[0]], m[0].lower()) for m in again.finditer(text)]
+    return found
+
+
 def entities(text: str) -> list[tuple[int, int, str, str]]:
-    """(start, end, kind, form) of the entities in a text, in order, none overlapping; earlier kinds win."""
+    """(start, end, kind, form) of the entities in a text, in order, none overlapping; of two that begin at one place the longer wins."""
     found = []
     for m in DOMAIN.finditer(text):
-        left = LOCAL.search(text, max(0, m.start() - 64), m.start())
-        if left:
-            start = left.start() + len(left[0]) - len(left[0].lstrip("."))
-            if start < m.start():
-                found.append((start, m.end(), "email", text[start : m.end()].lower()))
+        low = m.start()
+        while low > 0 and LOCAL.match(text[low - 1]):
+            low -= 1
+        low += len(text[low : m.start()]) - len(text[low : m.start()].lstrip("."))
+        if low < m.start():
+            found.append((low, m.end(), "email", text[low : m.end()].lower()))
     found += [(m.start(), m.end(), "secret", m[0].lower()) for m in SECRET.finditer(text)]
     for m in NUMBERS.finditer(text):
         kind = m.lastgroup if m.lastgroup else next(k for k, v in m.groupdict().items() if v)
         form = m[0] if kind == "ipv4" else re.sub(r"[^0-9A-Za-z]", "", m[0])
         found.append((m.start(), m.end(), kind, form))
-    for m in PERSON.finditer(text):
-        gender, names = GENDER[m[1]], [i for i in (2, 3) if m[i]]
-        for i in names:
-            given = i == 2 and len(names) == 2
-            found.append((m.start(i), m.end(i), f"name.{'given.' + gender if given else 'family'}.{script(m[i])}", m[i].lower()))
+    for m in IPV6.finditer(text):
+        try:
+            found.append((m.start(), m.end(), "ipv6", str(ipaddress.IPv6Address(m[0]))))
+        except ValueError:
+            continue
+    found += people(text)
     found.sort(key=lambda e: (e[0], -e[1]))
     out, end = [], 0
     for e in found:
@@ -123,12 +148,19 @@ def draw(key: bytes, kind: str, form: str, attempt: int) -> str:
         old = ipaddress.ip_address(".".join(str(int(p)) for p in form.split(".")))
         fixed = {10: 1, 127: 1, 192: 2, 172: 2, 169: 2}.get(int(old).to_bytes(4, "big")[0], 0) if old.is_private or old.is_link_local else 0
         head = form.split(".")[:fixed]
+        if fixed == 2 and attempt >= LOOSE:  # a private range that is full: the largest one
+            fixed, head = 1, ["10"]
         while True:
             new = ".".join([*head, *(str(s.below(254) + 1) for _ in range(4 - fixed))])
             if fixed or ipaddress.ip_address(new).is_global or s.value == 0:
                 return new
+    if kind == "ipv6":
+        old = ipaddress.IPv6Address(form)
+        head = old.exploded.split(":")[: 0 if old.is_global else 4]
+        groups = [*(head or ["2001", f"{s.below(1 << 16):x}"]), *(f"{s.below(1 << 16):x}" for _ in range(8))][:8]
+        return str(ipaddress.IPv6Address(":".join(groups)))
     if kind == "card":
-        body = form[: 1 if attempt < 20 else 0]
+        body = form[: 1 if attempt < LOOSE else 0]
         body += digits(len(form) - 1 - len(body))
         valid = [d for d in "0123456789" if luhn(body + d)]
         return body + (valid[0] if luhn(form) else s.pick([d for d in "0123456789" if d != valid[0]]))
@@ -138,13 +170,15 @@ def draw(key: bytes, kind: str, form: str, attempt: int) -> str:
     if kind == "ssn":
         return f"{s.below(665) + 1:03d}{s.below(99) + 1:02d}{s.below(9999) + 1:04d}"
     if kind == "phone":
-        head = form[: max(0, len(form) - 10)] if attempt < 20 else ""
+        head = form[: max(0, len(form) - 10)] if attempt < LOOSE else ""
         return head + str(s.below(8) + 2) + digits(len(form) - len(head) - 1)
     if kind == "secret":
         return "".join(s.pick("0123456789abcdef") for _ in form)
     _, *gender, alphabet = kind.split(".")
     consonants, vowels, ends = SYLLABLES[alphabet]
     name = "".join(s.pick(consonants) + s.pick(vowels) for _ in range(2 + s.below(2) + attempt // 4))
+    if gender[0] == "family" and len(gender) == 2:
+        return name + {"m": "ов", "f": "ова"}[gender[1]]
     return name + (ends[gender[1]] if len(gender) == 2 else ends[""])
 
 
@@ -192,9 +226,13 @@ def pseudonymize(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     """docs with the text rewritten, and n_entities int.
 
     Null texts stay null with 0 entities; texts without entities stay as they are. All other columns and
-    repeated rows are kept. The key is a secret parameter: equal keys and tables give equal surrogates.
+    repeated rows are kept; a column n_entities is replaced. A name is found behind a title, and then wherever it stands
+    in that text, so that all mentions of a person change alike. Surrogates of a format whose pool is full keep less
+    of the format (another private range, another area code); RuntimeError if even these don't suffice. The key is a secret parameter: equal keys and tables give equal surrogates.
     """
     secret = key.encode()
+    docs = docs.drop("n_entities")
+    spare = "_" * (1 + max(map(len, docs.columns)))  # no column has this name
     small_batches(docs.sparkSession, 500, "4m")
 
     def detect(batches):
@@ -206,7 +244,7 @@ def pseudonymize(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     found = cut(docs.select(text_col).mapInArrow(detect, "kind string, form string").distinct())
     redrawn = cut(attempts(found, secret))
     held: dict[tuple[str, str], int] = {}
-    marked = docs.withColumn("_attempts", F.lit(None).cast("map<string,int>"))
+    marked = docs.withColumn(spare, F.lit(None).cast("map<string,int>"))
     if redrawn.count() <= HELD_ATTEMPTS:
         held = {(r["kind"], r["form"]): r["attempt"] for r in redrawn.collect()}
     else:
@@ -221,7 +259,8 @@ def pseudonymize(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
         tag = F.xxhash64(text_col)
         used = docs.select(tag.alias("tag"), text_col).mapInArrow(uses, "tag long, kind string, form string").distinct()
         maps = used.join(redrawn, ["kind", "form"]).groupBy("tag").agg(F.map_from_entries(F.collect_set(F.struct(F.concat("kind", F.lit("\0"), "form"), "attempt"))).alias("m"))
-        marked = docs.withColumn("_tag", tag).join(maps.withColumnRenamed("tag", "_tag"), "_tag", "left").withColumn("_attempts", F.col("m")).drop("_tag", "m")
+        found_ = maps.select(F.col("tag").alias(f"{spare}tag"), F.col("m").alias(spare))
+        marked = docs.withColumn(f"{spare}tag", tag).join(found_, f"{spare}tag", "left").drop(f"{spare}tag")
     columns = docs.columns
     place = columns.index(text_col)
 
@@ -242,4 +281,4 @@ def pseudonymize(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
 
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes) + ", n_entities int"
     small_batches(docs.sparkSession, 500, "4m")
-    return marked.select(*columns, "_attempts").mapInArrow(rewrite, schema)
+    return marked.select(*columns, spare).mapInArrow(rewrite, schema)
