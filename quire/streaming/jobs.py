@@ -26,7 +26,9 @@ def process(jobs: DataFrame, work: Callable[[DataFrame], DataFrame], out: str, c
         todo = rows.dropDuplicates(keys)
         path = spark._jvm.org.apache.hadoop.fs.Path(out)
         if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-            todo = todo.join(spark.read.parquet(out).select(*keys), keys, "left_anti")
+            done = spark.read.parquet(out).select(*(F.col(k).alias(f"_done_{k}") for k in keys))
+            same = [F.col(k).eqNullSafe(F.col(f"_done_{k}")) for k in keys]  # a null key is done once, too
+            todo = todo.join(done, same, "left_anti")
         work(todo).write.mode("append").parquet(out)
 
     return jobs.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

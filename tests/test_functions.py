@@ -56,6 +56,12 @@ def test_ledger_keeps_the_new_row(spark):
     assert sorted(tuple(r) for r in sinks.merge_ledger(old, new, ["k"]).collect()) == [("a", 1), ("b", 3), ("c", 4)]
 
 
+def test_ledger_takes_the_last_of_equal_new_rows(spark):
+    old = spark.createDataFrame([("a", 1)], "k string, v int")
+    for rows in ([("a", 3), ("a", 7)], [("a", 7), ("a", 3)]):
+        assert [tuple(r) for r in sinks.merge_ledger(old, spark.createDataFrame(rows, "k string, v int"), ["k"]).collect()] == [("a", 7)]
+
+
 def test_run_partitions_are_replaced_one_by_one(spark, tmp_path):
     path = str(tmp_path / "run")
     sinks.write_run(spark.createDataFrame([("c", "p1", 1), ("c", "p2", 2)], "config_slug string, page_id string, v int"), path)
@@ -74,8 +80,8 @@ def test_sources(spark, tmp_path):
 def test_stream_works_once_for_each_job(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     work = lambda rows: rows.withColumn("done", F.lit(True))
-    for part in ([1, 2], [2, 3]):
+    for part in ([1, 2, None], [2, 3, None]):
         spark.createDataFrame([(i,) for i in part], "job long").write.mode("append").parquet(source)
         stream = jobs.read_jobs(spark, source, "job long")
         jobs.process(stream, work, out, str(tmp_path / "state"), ["job"]).awaitTermination()
-    assert sorted(r.job for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+    assert sorted(r.job or 0 for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3]
