@@ -133,7 +133,9 @@ def box_gate(spark, folder):
     """JN-15, MTH-05, MTH-06, WIN-04: found and human boxes by their place in order, how much they share and whether tolerances hold."""
     rows = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("page"), "l_linenumber", (F.col("l_partkey") % 1000).alias("x1"), (F.col("l_suppkey") % 100).alias("y1"), F.col("l_quantity").cast("long").alias("w"))
     boxed = rows.withColumn("box", G.box(F.col("x1"), F.col("y1"), F.col("x1") + F.col("w"), F.col("y1") + 30))
-    side = lambda odd, name: core.renumbered(boxed.filter(F.col("l_linenumber") % 2 == odd), ["page"], [F.asc("x1"), F.asc("l_linenumber")], "place").select("page", "place", F.col("box").alias(name))
+    # SQL's order leaves ties open, as line numbers repeat; the rest of a box closes them
+    order = [F.asc(c) for c in ("x1", "l_linenumber", "y1", "w")]
+    side = lambda odd, name: core.renumbered(boxed.filter(F.col("l_linenumber") % 2 == odd), ["page"], order, "place").select("page", "place", F.col("box").alias(name))
     both = side(1, "found").join(side(0, "human"), ["page", "place"])
     share = G.iou(F.col("found"), F.col("human"))
     return both.withColumn("c", G.contained(F.col("found"), F.col("human"), F.col("human"))).select("page", "place", F.round(share, 9).alias("iou"), "c.covers_min", "c.within_max", (share >= 0.5).alias("ok"))
