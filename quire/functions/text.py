@@ -1,10 +1,12 @@
-"""String functions on Columns; all stay within whole-stage code."""
+"""String functions on Columns; all but the edit distance stay within whole-stage code."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quire.functions.edit_ops import edit_distance
+
 
 def trim_ws(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -16,7 +18,7 @@ def collapse_ws(c: Column) -> Column:
 
 def edits(ref: Column, hyp: Column) -> Column:
     """Code-point edit distance of the stripped texts."""
-    return F.levenshtein(trim_ws(ref), trim_ws(hyp))
+    return edit_distance(trim_ws(ref), trim_ws(hyp))
 
 
 def cer(ref: Column, hyp: Column) -> Column:

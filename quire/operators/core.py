@@ -6,6 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Tasks for each core that spread() deals rows to.
+SPREAD = 4
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt out evenly, for steps whose time is far beyond their bytes: files of few bytes are read by few tasks."""
+    tasks = SPREAD * rows.sparkSession.sparkContext.defaultParallelism
+    return rows.withColumn("_dealt", F.monotonically_increasing_id()).repartition(tasks, "_dealt").drop("_dealt")
+
+
 def length_bin(length: Column) -> Column:
     return F.when(length <= 10, "0-10").when(length <= 20, "11-20").when(length <= 30, "21-30").otherwise("31+")
 

@@ -26,7 +26,8 @@ PAIRS = "SELECT *, levenshtein(ref, hyp) AS edits, length(ref) AS ref_len, leven
 def _pairs(spark: SparkSession, folder: str) -> DataFrame:
     """(conv_id, turn, role, ref, hyp, edits, ref_len, cer): lines with a reference; FLT-02 drops empty ones."""
     ref = T.collapse_ws(F.col("text"))
-    refs = table(spark, folder, "conversations").select("conv_id", "turn", "role", ref.alias("ref")).filter("ref <> ''")
+    turns = core.spread(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
+    refs = turns.select("conv_id", "turn", "role", ref.alias("ref")).filter("ref <> ''")
     hyp = F.replace(F.translate("ref", "aeo", "eoa"), F.lit("th"), F.lit("t"))
     scored = refs.withColumn("hyp", hyp).withColumn("edits", T.edits(F.col("ref"), F.col("hyp"))).withColumn("ref_len", F.length("ref"))
     return scored.withColumn("cer", F.col("edits").cast("double") / F.col("ref_len").cast("double"))

@@ -1,7 +1,10 @@
+import random
+import time
+
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.functions.edit_ops import count_edits
+from quire.functions.edit_ops import count_edits, distance
 from quire.operators import core
 from quire.sources import sinks, tables
 from quire.streaming import jobs
@@ -85,3 +88,44 @@ def test_stream_works_once_for_each_job(spark, tmp_path):
         stream = jobs.read_jobs(spark, source, "job long")
         jobs.process(stream, work, out, str(tmp_path / "state"), ["job"]).awaitTermination()
     assert sorted(r.job or 0 for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3]
+
+
+def test_edit_distance_of_long_texts(spark):
+    # by the whole table, in plain steps
+    def table(ref, hyp):
+        rows = [list(range(len(hyp) + 1))]
+        for i, a in enumerate(ref, 1):
+            rows.append([i])
+            for j, b in enumerate(hyp, 1):
+                rows[i].append(min(rows[i - 1][j] + 1, rows[i][j - 1] + 1, rows[i - 1][j - 1] + (a != b)))
+        return rows
+
+    def walked(ref, hyp):
+        rows, i, j, found = table(ref, hyp), len(ref), len(hyp), [0, 0, 0]
+        while i or j:
+            if i and rows[i - 1][j] + 1 == rows[i][j]:
+                i, found[1] = i - 1, found[1] + 1
+            elif j and rows[i][j - 1] + 1 == rows[i][j]:
+                j, found[2] = j - 1, found[2] + 1
+            else:
+                i, j, found[0] = i - 1, j - 1, found[0] + (ref[i - 1] != hyp[j - 1])
+        return tuple(found)
+
+    draw = random.Random(3)
+    for n in (0, 1, 2, 5, 40, 63, 64, 65, 256, 257, 600):
+        ref, hyp = ("".join(draw.choice("abé\U0001d11e") for _ in range(draw.randint(max(0, n - 9), n))) for _ in range(2))
+        assert count_edits(ref, hyp) == walked(ref, hyp)
+        assert one(spark, T.edits(F.lit(f" {ref}"), F.lit(hyp))) == sum(walked(ref, hyp)) == distance(ref, hyp)
+    assert one(spark, T.edits(F.lit(None).cast("string"), F.lit("a"))) is None
+
+
+def test_edits_of_turns_take_little_time():
+    ref = "the quick brown fox jumps over a lazy dog " * 12
+    start = time.process_time()
+    for i in range(200):
+        count_edits(f"{i}{ref}", ref.translate(str.maketrans("aeo", "eoa")))
+    assert time.process_time() - start < 1.2
+
+
+def test_pairs_are_dealt_to_all_cores(spark):
+    assert core.spread(spark.range(1000).coalesce(1)).rdd.glom().map(len).filter(lambda n: n > 0).count() > 4
