@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,15 +20,22 @@ def numbered_block(rows: DataFrame, keys: list[str], order: str, text: str) -> D
     return rows.groupBy(*keys).agg(parts.alias("parts")).select(*keys, F.size("parts").alias("n"), block.alias("block"))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def parse_rewrite(reply: Column, n: Column) -> Column:
     """struct(lines map<int,string>, parse_ok): the numbered lines of a reply, within 1 to n; the first of a number counts.
 
     parse_ok says whether every number from 1 to n is there. Lines without a number are left out."""
-    found = F.transform(F.split(strip_fences(reply), r"\r\n|\n|\r"), lambda x: F.struct(F.regexp_extract(x, NUMBERED, 1).try_cast("int").alias("key"), F.regexp_extract(x, NUMBERED, 2).alias("value")))
-    known = F.filter(found, lambda x: x["key"].between(1, n))
-    first = F.filter(known, lambda x, i: F.array_position(F.transform(known, lambda y: y["key"]), x["key"]) == i + 1)
-    lines = F.map_from_entries(first)
-    return F.struct(lines.alias("lines"), (F.size(lines) == n).alias("parse_ok"))
+    # each array is bound once: what a lambda only refers to is computed anew for every element
+    texts = F.split(strip_fences(reply), r"\r\n|\n|\r")
+    found = F.transform(texts, lambda x, i: F.struct(F.regexp_extract(x, NUMBERED, 1).try_cast("int").alias("key"), i.alias("i"), F.regexp_extract(x, NUMBERED, 2).alias("value")))
+    by_key = F.array_sort(F.filter(found, lambda x: x["key"].between(1, n)))
+    first = _bound(by_key, lambda a: F.filter(a, lambda x, i: ~F.get(a, i - 1)["key"].eqNullSafe(x["key"])))
+    lines = F.map_from_entries(F.transform(first, lambda x: F.struct(x["key"].alias("key"), x["value"].alias("value"))))
+    return _bound(lines, lambda a: F.struct(a.alias("lines"), (F.size(a) == n).alias("parse_ok")))
 
 
 def parse_minimal_edit(reply: Column, n: Column) -> Column:

@@ -1,6 +1,7 @@
 """Line boundaries in profiles, box geometry and reading order, identifiers, replies."""
 
 import math
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,3 +80,14 @@ def test_replies(spark):
     edits = 'So: {"1": {"a": "b"}, "x": {"c": "d"}, "7": {"e": "f"}, "2": 3} done'
     assert tuple(one(spark, C.parse_minimal_edit(F.lit(edits), F.lit(2)))) == ({1: {"a": "b"}}, True)
     assert tuple(one(spark, C.parse_minimal_edit(F.lit("none"), F.lit(2)))) == ({}, False)
+
+
+def test_a_long_reply_is_parsed_once(spark):
+    n = 1500
+    reply = "\n".join([f"{i}. line {i} {'word ' * 20}" for i in range(n, 0, -1)] + ["7. again", "0. none", f"{n + 1}. beyond"])
+    frame = spark.createDataFrame([(reply, n)], "reply string, n int")
+    parsed = frame.select(C.parse_rewrite(F.col("reply"), F.col("n")).alias("x"))
+    start = time.time()
+    found = parsed.first().x
+    assert time.time() - start < 8
+    assert found.parse_ok and len(found.lines) == n and found.lines[7].startswith("line 7 ") and found.lines[n].startswith(f"line {n} ")
