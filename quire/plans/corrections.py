@@ -38,7 +38,9 @@ def correction_blocks(spark, folder):
 
 
 def _evaluated(rows: DataFrame) -> DataFrame:
-    rows = rows.withColumn("edits_corrected", T.edits(F.col("ref"), F.col("corrected")))
+    # lines that stay as they were have their edits already
+    changed = F.when(F.col("corrected") != F.col("pred"), F.col("corrected"))
+    rows = rows.withColumn("edits_corrected", F.coalesce(T.edits(F.col("ref"), changed), F.col("edits")))
     rows = rows.withColumn("cer_corrected", F.col("edits_corrected").cast("double") / F.col("ref_len").cast("double"))
     out = C.correction_summary(rows, ["conv_id"], *PRICES, LETTERS)
     return out.select(*(F.round(c, 9).alias(c) if kind == "double" else c for c, kind in out.dtypes))
