@@ -48,6 +48,10 @@ class HashedText:
         a, b = np.minimum(i, j), np.maximum(i, j)
         return (self.prefix[a + length] - self.prefix[a]) * self.powers[b - a] == self.prefix[b + length] - self.prefix[b]
 
+    def whole(self, i: np.ndarray, length: int) -> np.ndarray:
+        """The hashes of length bytes at i, scaled up to the end of the text: equal where same() holds."""
+        return (self.prefix[i + length] - self.prefix[i]) * self.powers[len(self.data) - i]
+
     def extension(self, i: np.ndarray, j: np.ndarray, most: int) -> np.ndarray:
         """Common bytes at i and j, up to most, by binary search; both have most bytes."""
         low, high = np.zeros(len(i), np.int64), np.full(len(i), most, np.int64)
@@ -136,15 +140,25 @@ def repeated(rows: list[tuple], window: int) -> Iterator[tuple[int, int, int, in
     rank = np.empty(len(rows), np.int64)
     rank[sorted(range(len(rows)), key=lambda i: (rows[i][1] is not None, rows[i][1] or 0, rows[i][2], rows[i][3]))] = np.arange(len(rows))
     age = rank[owner] * (1 << 32) + offset
-    # equal windows have the anchor at equal places, so each place of a block is sorted for itself;
-    # those with a single window have nothing to compare
+    # equal windows have the anchor at equal places, so each place of a block is sorted for itself
     places = np.array([r[6] for r in rows])[owner] - offset
     blocks = np.cumsum(np.r_[0, keys[1:] != keys[:-1]])[owner] * window + places
-    blocks, size = np.unique(blocks, return_inverse=True, return_counts=True)[1:]
-    busy = np.flatnonzero(size[blocks] > 1)
-    busy = busy[np.argsort(blocks[busy], kind="stable")]
-    starts, owner, offset, age, blocks = starts[busy], owner[busy], offset[busy], age[busy], blocks[busy]
-    order, equal = verified(text, starts, blocks, suffix_sort(text, starts, blocks, window), window)
+    # a window whose hash no other of its block has equals none; of those with one hash, one is sorted for all
+    hashes = text.whole(starts, window)
+    marks = hashes + windows.mix((blocks + 1).astype(np.uint64) * np.uint64(BASE))
+    twice = np.sort(marks)
+    twice = twice[1:][twice[1:] == twice[:-1]]
+    if not len(twice):
+        return
+    twice = twice[np.r_[True, twice[1:] != twice[:-1]]]
+    busy = np.flatnonzero(twice[np.minimum(np.searchsorted(twice, marks), len(twice) - 1)] == marks)
+    busy = busy[np.lexsort((hashes[busy], blocks[busy]))]
+    starts, owner, offset, age, blocks, hashes = starts[busy], owner[busy], offset[busy], age[busy], blocks[busy], hashes[busy]
+    first = np.flatnonzero(np.r_[True, (blocks[1:] != blocks[:-1]) | (hashes[1:] != hashes[:-1])])
+    size = np.diff(np.r_[first, len(starts)])
+    rank = suffix_sort(text, starts[first], blocks[first], window)
+    order = np.repeat(first[rank] - np.r_[0, np.cumsum(size[rank])[:-1]], size[rank]) + np.arange(len(starts))
+    order, equal = verified(text, starts, blocks, order, window)
     group = np.cumsum(~equal) - 1
     oldest = np.full(group[-1] + 1 if len(group) else 0, np.iinfo(np.int64).max)
     np.minimum.at(oldest, group, age[order])

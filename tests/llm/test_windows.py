@@ -111,3 +111,19 @@ def test_a_collision_is_mended(monkeypatch):
     assert wanted == [(2, 0, 1, 8), (3, 0, 0, 7), (4, 0, 0, 7)]
     monkeypatch.setattr(suffix_dedup, "suffix_sort", lambda text, starts, blocks, most: np.lexsort((-starts, blocks)))
     assert sorted(suffix_dedup.repeated(rows, 6)) == wanted
+
+
+def test_only_windows_that_repeat_are_sorted(monkeypatch):
+    # equal windows: the middle of the first two rows; the others share the anchor alone
+    anchor = b"0123456789"
+    rows = [(7, d, 0, 0, 30, own[:10] + anchor + own[10:], 10, False) for d, own in enumerate((b"abcdefghijABCDEFGHIJ", b"vwxdefghijABCDEFGXYZ", b"zyxwvutsrqZYXWVUTSRQ", b"mnopqrstuvMNOPQRSTUV"))]
+    asked, sort = [], suffix_dedup.suffix_sort
+
+    def counted(text, starts, blocks, most):
+        asked.append(len(starts))
+        return sort(text, starts, blocks, most)
+
+    monkeypatch.setattr(suffix_dedup, "suffix_sort", counted)
+    assert sorted(suffix_dedup.repeated(rows, 16)) == [(1, 0, 3, 27)]
+    assert asked == [9]
+    assert list(suffix_dedup.repeated(rows[2:], 16)) == []
