@@ -16,6 +16,16 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_dealt", F.monotonically_increasing_id()).repartition(tasks, "_dealt").drop("_dealt")
 
 
+#: Rows of a task, about, that gathered() makes.
+GATHERED = 500_000
+
+
+def gathered(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of a key together, in tasks whose number grows with the rows: what a task sorts stays as it is."""
+    tasks = max(rows.count() // GATHERED + 1, rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartition(tasks, key)
+
+
 def length_bin(length: Column) -> Column:
     return F.when(length <= 10, "0-10").when(length <= 20, "11-20").when(length <= 30, "21-30").otherwise("31+")
 
@@ -195,7 +205,8 @@ def split_label(rows: DataFrame, keys: list[str], child: str, label: str) -> Dat
     own = Window.partitionBy(*keys)
     parts = F.split(F.regexp_replace(label, r"\n+$", ""), "\n")
     n, at = F.count("*").over(own), F.row_number().over(own.orderBy(child))
-    out = rows.withColumn("_parts", parts).withColumn("_n", n).withColumn("_at", at)
+    # the label is split behind the windows, whose rows are sorted without its parts
+    out = rows.withColumn("_n", n).withColumn("_at", at).withColumn("_parts", parts)
     outcome = F.when(F.trim(F.regexp_replace(label, r"\s+", " ")) == "", "marker").when(F.size("_parts") == F.col("_n"), "autosplit").otherwise("relabel")
     out = out.withColumn("outcome", outcome)
     return out.select(*keys, child, F.when(F.col("outcome") == "autosplit", F.get("_parts", F.col("_at") - 1)).when(F.col("outcome") == "marker", F.col(label)).alias("part"), "outcome")

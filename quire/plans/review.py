@@ -18,7 +18,7 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
     region = F.when(F.col("l_returnflag") == "N", "region_01_header").when(F.col("l_returnflag") == "A", "region_02_left").otherwise("region_03_right")
     # line numbers repeat within an order
     number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_tax", "l_discount"))
-    return table(spark, folder, "lineitem").withColumns({"page": F.col("l_orderkey"), "line": number, "region": region, "text": F.concat(F.lit("t"), F.col("l_partkey").cast("string"))})
+    return core.gathered(table(spark, folder, "lineitem"), "l_orderkey").withColumns({"page": F.col("l_orderkey"), "line": number, "region": region, "text": F.concat(F.lit("t"), F.col("l_partkey").cast("string"))})
 
 
 STATUS = "CASE WHEN l_tax = 0 THEN 'rejected' WHEN l_linestatus = 'O' THEN 'pending' WHEN l_discount > 0 THEN 'labeled' ELSE 'empty' END"

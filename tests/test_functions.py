@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from quire.functions import text as T
 from quire.functions.edit_ops import count_edits, distance
 from quire.operators import core
+from quire.plans import catalog
 from quire.sources import sinks, tables
 from quire.streaming import jobs
 
@@ -129,3 +130,13 @@ def test_edits_of_turns_take_little_time():
 
 def test_pairs_are_dealt_to_all_cores(spark):
     assert core.spread(spark.range(1000).coalesce(1)).rdd.glom().map(len).filter(lambda n: n > 0).count() > 4
+
+
+def test_tasks_of_gathered_rows_grow_with_them(spark, monkeypatch):
+    monkeypatch.setattr(core, "GATHERED", 100)
+    rows = spark.range(2000).selectExpr("id % 500 AS k", "id")
+    held = [{r.k for r in part} for part in core.gathered(rows, "k").rdd.glom().collect()]
+    assert len(held) == 21 and sum(map(len, held)) == 500
+    for name in ("label_split", "reslice_tally"):
+        plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+        assert "REPARTITION_BY_NUM" in plan
